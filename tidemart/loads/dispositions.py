@@ -173,28 +173,34 @@ def load_merge(
     previous = wh.state(spec.layer, spec.name)
     base = None if refresh else previous
     schema, batch = evolve(base.schema if base else df.schema, df)
+    absent = [k for k in spec.keys if k not in batch.columns]
+    if absent:
+        raise ValueError(f"{spec.name}: batch lacks key columns of the table's type: {absent}")
     batch = latest_by_key(_conform(batch, schema), spec.keys, spec.order_by)
     batch = batch.withColumn(PART, _part(spec))
 
     load_id = new_load_id()
     folder = wh.folder(spec.layer, spec.name, load_id)
+    stored = wh.spark.read.schema(_with_part(schema))
     if base is None:
         _write_parts(batch, folder)
-        loaded = wh.spark.read.schema(_with_part(schema)).parquet(folder)
-        touched = _parts(loaded)
-        folders = {}
+        loaded = stored.parquet(folder)
+        folders, touched = {}, _parts(loaded)
     else:
         # The batch is written out once: what follows reads it several times and
         # must see the same rows even if an executor is lost in between.
         incoming = f"{wh.root}/incoming/{spec.layer}/{spec.name}/{load_id}"
         batch.write.parquet(incoming)
-        loaded = wh.spark.read.schema(_with_part(schema)).parquet(incoming)
-        touched = _parts(loaded)
-        old = wh.read_folders(schema, [base.folders[p] for p in touched if p in base.folders])
+        loaded = stored.parquet(incoming)
+        # A key that widened may hash to another partition: then all are rewritten.
+        rekeyed = any(base.schema[k].dataType != schema[k].dataType for k in spec.keys)
+        folders = {} if rekeyed else dict(base.folders)
+        affected = sorted(base.folders) if rekeyed else _parts(loaded)
+        old = wh.read_folders(schema, [base.folders[p] for p in affected if p in base.folders])
         same_key = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in spec.keys]
         kept = old.alias("old").join(loaded.select(*spec.keys).alias("new"), same_key, "left_anti")
         _write_parts(kept.withColumn(PART, _part(spec)).unionByName(loaded), folder)
-        folders = dict(base.folders)
+        touched = _parts(stored.parquet(folder)) if rekeyed else affected
     folders.update({p: f"{folder}/{PART}={p}" for p in touched})
 
     n_rows, newest = _totals(loaded, spec)
