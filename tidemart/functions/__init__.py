@@ -1,4 +1,10 @@
-from tidemart.functions.clock import CALENDAR_COLUMNS, calendar_columns, instant_to_local, utc_to_local
+from tidemart.functions.clock import (
+    CALENDAR_COLUMNS,
+    calendar_columns,
+    instant_to_local,
+    moment,
+    utc_to_local,
+)
 from tidemart.functions.keys import row_id, surrogate_key, timestamp_key
 from tidemart.functions.measures import (
     days_between,
@@ -18,6 +24,7 @@ __all__ = [
     "guarded_pct_change",
     "instant_to_local",
     "iso_date",
+    "moment",
     "pct_change",
     "reciprocal",
     "reciprocal_error",

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 # Month and weekday names (Monday first) per language (fixed values).
 MONTH_NAMES = {
@@ -43,6 +46,11 @@ CALENDAR_COLUMNS = (
 )
 
 
+def moment(ts: datetime, data_type: str | DataType = "timestamp") -> Column:
+    """A literal; a time without a zone is read in the session's, not the driver's."""
+    return F.lit(ts.isoformat(" ")).cast(data_type)
+
+
 def utc_to_local(ts: Column, zone: str) -> Column:
     """UTC wall time (``TIMESTAMP_NTZ``) to wall time in ``zone``."""
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -149,9 +150,21 @@ def _write_parts(df: DataFrame, folder: str) -> None:
     df.hint("rebalance", PART).write.partitionBy(PART).parquet(folder)
 
 
-def _parts(df: DataFrame) -> list[str]:
-    """Partitions that occur: months of the calendar or a fixed number of buckets."""
-    return [str(r[0]) for r in df.select(PART).distinct().collect()]
+@dataclass(frozen=True)
+class _Loaded:
+    """What a written batch holds, from one scan of its partition and cursor columns."""
+
+    parts: list[str]
+    n_rows: int
+    newest: str | None
+
+
+def _loaded(df: DataFrame, spec: TableSpec) -> _Loaded:
+    """One row per partition reaches the driver: months, or a fixed number of buckets."""
+    newest = F.max(spec.cursor).cast("string") if spec.cursor else F.lit(None).cast("string")
+    found = df.groupBy(PART).agg(F.count(F.lit(1)), newest).collect()
+    cursors = [r[2] for r in found if r[2] is not None]
+    return _Loaded([str(r[0]) for r in found], sum(r[1] for r in found), max(cursors, default=None))
 
 
 def load_merge(
@@ -184,26 +197,26 @@ def load_merge(
     stored = wh.spark.read.schema(_with_part(schema))
     if base is None:
         _write_parts(batch, folder)
-        loaded = stored.parquet(folder)
-        folders, touched = {}, _parts(loaded)
+        loaded = _loaded(stored.parquet(folder), spec)
+        folders, touched = {}, loaded.parts
     else:
         # The batch is written out once: what follows reads it several times and
         # must see the same rows even if an executor is lost in between.
         incoming = f"{wh.root}/incoming/{spec.layer}/{spec.name}/{load_id}"
         batch.write.parquet(incoming)
-        loaded = stored.parquet(incoming)
+        new = stored.parquet(incoming)
+        loaded = _loaded(new, spec)
         # A key that widened may hash to another partition: then all are rewritten.
         rekeyed = any(base.schema[k].dataType != schema[k].dataType for k in spec.keys)
         folders = {} if rekeyed else dict(base.folders)
-        affected = sorted(base.folders) if rekeyed else _parts(loaded)
+        affected = sorted(base.folders) if rekeyed else loaded.parts
         old = wh.read_folders(schema, [base.folders[p] for p in affected if p in base.folders])
         same_key = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in spec.keys]
-        kept = old.alias("old").join(loaded.select(*spec.keys).alias("new"), same_key, "left_anti")
-        _write_parts(kept.withColumn(PART, _part(spec)).unionByName(loaded), folder)
-        touched = _parts(stored.parquet(folder)) if rekeyed else affected
+        kept = old.alias("old").join(new.select(*spec.keys).alias("new"), same_key, "left_anti")
+        _write_parts(kept.withColumn(PART, _part(spec)).unionByName(new), folder)
+        touched = _loaded(stored.parquet(folder), spec).parts if rekeyed else affected
     folders.update({p: f"{folder}/{PART}={p}" for p in touched})
 
-    n_rows, newest = _totals(loaded, spec)
     wh.commit(
         spec.layer,
         spec.name,
@@ -211,8 +224,8 @@ def load_merge(
         schema,
         folders,
         load_id,
-        n_rows,
-        cursor=_cursor(base, newest) if move_cursor else (base.cursor if base else None),
+        loaded.n_rows,
+        cursor=_cursor(base, loaded.newest) if move_cursor else (base.cursor if base else None),
         n_dropped=n_dropped,
         previous=previous,
     )
@@ -222,11 +235,6 @@ def _with_part(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField(PART, IntegerType())])
 
 
-def _totals(loaded: DataFrame, spec: TableSpec) -> tuple[int, str | None]:
-    newest = F.max(spec.cursor).cast("string") if spec.cursor else F.lit(None).cast("string")
-    return tuple(loaded.agg(F.count(F.lit(1)), newest).first())
-
-
 def _cursor(base: TableState | None, newest: str | None) -> str | None:
     """The later of two cursors; ISO texts of one width compare like their values."""
     seen = [c for c in (base.cursor if base else None, newest) if c is not None]

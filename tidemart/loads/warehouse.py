@@ -100,19 +100,23 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*folders)
 
+    def read_state(self, state: TableState) -> DataFrame:
+        return self.read_folders(state.schema, sorted(set(state.folders.values())))
+
     def read(self, layer: str, table: str) -> DataFrame:
         """A table by layer and name; columns added later are null in older files."""
         state = self.state(layer, table)
         if state is None:
             raise LookupError(f"no table {layer}.{table}")
-        return self.read_folders(state.schema, sorted(set(state.folders.values())))
+        return self.read_state(state)
 
     def exists(self, layer: str, table: str) -> bool:
         return self.state(layer, table) is not None
 
     def is_empty(self, layer: str, table: str) -> bool:
         """True if the table does not exist or has no rows (looks for one row only)."""
-        return not self.exists(layer, table) or self.read(layer, table).isEmpty()
+        state = self.state(layer, table)
+        return state is None or self.read_state(state).isEmpty()
 
     def unused_folders(self, layer: str, table: str) -> DataFrame:
         """Folders of earlier loads that the table no longer consists of."""

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemart.functions import moment
 from tidemart.operators.buckets import BUCKET, time_bucket
 
 _VERSION = "__version"
@@ -20,7 +21,7 @@ def valid_at(
     valid_to: str = "valido_hasta",
 ) -> DataFrame:
     """The versions in force at one moment."""
-    at = at if isinstance(at, Column) else F.lit(at)
+    at = at if isinstance(at, Column) else moment(at, history.schema[valid_from].dataType)
     return history.filter(
         (F.col(valid_from) <= at) & (F.col(valid_to).isNull() | (at < F.col(valid_to)))
     )

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.functions import moment
 from tidemart.specs import INGESTED_AT, TableSpec
 
 # Age limits in hours that must equal the reference's (fixed values).
@@ -26,7 +27,7 @@ def freshness(
 
     Limits are compared with the exact age; ``age_hours`` is in whole hours.
     """
-    now = F.current_timestamp() if as_of is None else F.lit(as_of).cast(df.schema[loaded_at].dataType)
+    now = F.current_timestamp() if as_of is None else moment(as_of, df.schema[loaded_at].dataType)
     newest = df.agg(F.max(loaded_at).alias("max_loaded_at"))
     age = now - F.col("max_loaded_at")
 

@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.functions import moment
+
 VALID_FROM = "dbt_valid_from"
 VALID_TO = "dbt_valid_to"
 
@@ -25,7 +27,7 @@ def _versions(
     Keys are unique on both sides, so one full join yields one row per key; a
     changed key turns into two versions.
     """
-    now = at if isinstance(at, Column) else F.lit(at).cast("timestamp")
+    now = at if isinstance(at, Column) else moment(at)
     old = open_versions.select(F.struct(*keys, *check_cols, VALID_FROM).alias("old"))
     new = batch.select(F.struct(*keys, *check_cols).alias("new"))
     same_key = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys]

@@ -7,13 +7,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions import row_id
+from tidemart.functions import moment, row_id
 from tidemart.specs import INGESTED_AT, SOURCE
 
 
 def with_metadata(df: DataFrame, source: str, ts: datetime | None = None) -> DataFrame:
     """Adds when the row was loaded and where it came from; other columns stay."""
-    loaded = F.current_timestamp() if ts is None else F.lit(ts).cast("timestamp")
+    loaded = F.current_timestamp() if ts is None else moment(ts)
     return df.withColumns({INGESTED_AT: loaded, SOURCE: F.lit(source)})
 
 
