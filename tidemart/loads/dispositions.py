@@ -17,16 +17,18 @@ from pyspark.sql.types import (
     IntegerType,
     LongType,
     ShortType,
+    StringType,
     StructField,
     StructType,
 )
 
 from tidemart.loads.warehouse import TableState, Warehouse, new_load_id
 from tidemart.operators.dedup import latest_by_key
-from tidemart.operators.scd2 import VALID_FROM, VALID_TO, split_snapshot
+from tidemart.operators.scd2 import VALID_FROM, VALID_TO, step_snapshot
 from tidemart.specs import AUDIT, MATERIALIZATION, TableSpec
 
 PART = "load_part"
+SIDE, OPEN, CLOSED = "load_side", "open", "closed"
 
 _INTEGERS = (ByteType(), ShortType(), IntegerType(), LongType())
 _DIGITS = {ByteType(): 3, ShortType(): 5, IntegerType(): 10, LongType(): 19}
@@ -263,18 +265,22 @@ def load_snapshot(
     times = StructType.fromDDL(f"{VALID_FROM} TIMESTAMP, {VALID_TO} TIMESTAMP").fields
     schema = StructType([*fields, *times])
     folders = dict(previous.folders) if previous else {}
-    current = wh.read_folders(schema, [folders[p] for p in folders if p == "open"])
-    still_open, newly_closed = split_snapshot(
-        current, batch, spec.keys, check_cols, at, hard_deletes
+    was_open = [folders.pop(OPEN)] if OPEN in folders else []
+    versions = step_snapshot(
+        wh.read_folders(schema, was_open), batch, spec.keys, check_cols, at, hard_deletes
     )
+
     load_id = new_load_id()
     folder = wh.folder(spec.layer, spec.name, load_id)
-    still_open.write.parquet(f"{folder}/open")
-    newly_closed.write.parquet(f"{folder}/closed")
-    folders["open"] = f"{folder}/open"
-    n_closed = _count(wh, schema, [f"{folder}/closed"])
-    if n_closed:
-        folders[f"closed-{load_id}"] = f"{folder}/closed"
+    side = F.when(F.col(VALID_TO).isNull(), OPEN).otherwise(CLOSED)
+    versions.withColumn(SIDE, side).write.partitionBy(SIDE).parquet(folder)
+    sided = StructType([*schema.fields, StructField(SIDE, StringType())])
+    written = wh.spark.read.schema(sided).parquet(folder).groupBy(SIDE).count()
+    n_rows = {r[0]: r[1] for r in written.collect()}
+    if OPEN in n_rows:
+        folders[OPEN] = f"{folder}/{SIDE}={OPEN}"
+    if CLOSED in n_rows:
+        folders[f"{CLOSED}-{load_id}"] = f"{folder}/{SIDE}={CLOSED}"
     wh.commit(
         spec.layer,
         spec.name,
@@ -282,7 +288,7 @@ def load_snapshot(
         schema,
         folders,
         load_id,
-        n_closed + _count(wh, schema, [f"{folder}/open"]),
+        sum(n_rows.values()),
         previous=previous,
     )
 

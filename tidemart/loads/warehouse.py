@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, field
+from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -87,13 +88,21 @@ class Warehouse:
         previous: TableState | None = None,
     ) -> None:
         """Makes a load visible: one row, written by one task, appears as one file."""
-        seq = previous.seq + 1 if previous else 1
-        row = (seq, load_id, layer, table, action, folders, schema.json(), cursor, n_rows, n_dropped)
-        columns = StructType.fromDDL(_LOG).fields[:-1]
-        entry = self.spark.createDataFrame([row], StructType(columns))
-        entry.withColumn("loaded_at", F.current_timestamp()).coalesce(1).write.mode("append").json(
-            self._log_path(layer, table)
-        )
+        entry = {
+            "seq": previous.seq + 1 if previous else 1,
+            "load_id": load_id,
+            "layer": layer,
+            "table": table,
+            "action": action,
+            "folders": folders,
+            "schema": schema.json(),
+            "cursor": cursor,
+            "n_rows": n_rows,
+            "n_dropped": n_dropped,
+            "loaded_at": datetime.now(UTC).isoformat(),
+        }
+        line = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(entry)).alias("value"))
+        line.write.mode("append").text(self._log_path(layer, table))
 
     def read_folders(self, schema: StructType, folders: list[str]) -> DataFrame:
         if not folders:

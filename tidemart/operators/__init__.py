@@ -16,7 +16,7 @@ from tidemart.operators.dedup import latest_by_key
 from tidemart.operators.gate import CheckFailed, check_results, enforce, overall_status
 from tidemart.operators.history import asof_lookup, valid_at
 from tidemart.operators.profile import freshness, raw_profile
-from tidemart.operators.scd2 import apply_snapshot, split_snapshot
+from tidemart.operators.scd2 import apply_snapshot, step_snapshot
 from tidemart.operators.series import period_summary, with_previous
 from tidemart.operators.windows import find_gaps, plan_windows
 
@@ -43,7 +43,7 @@ __all__ = [
     "reciprocal_coherence",
     "relationships",
     "session_timezone",
-    "split_snapshot",
+    "step_snapshot",
     "unique",
     "unique_combination",
     "valid_at",

@@ -15,9 +15,10 @@ from pyspark.sql.types import DateType
 
 BUCKET = "__bucket"
 
-# Bucket widths that suit each kind of time column: a date has at most 31 rows
-# of a key per month, a timestamp can have any number, so it is cut finer.
-DATE_PERIOD = "month"
+# Bucket widths that suit each kind of time column: with one row per key and
+# day, a key has at most 366 rows a year. Timestamps can come at any rate, so
+# they are cut finer.
+DATE_PERIOD = "year"
 TIMESTAMP_PERIOD = "day"
 
 

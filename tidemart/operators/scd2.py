@@ -14,17 +14,17 @@ VALID_FROM = "dbt_valid_from"
 VALID_TO = "dbt_valid_to"
 
 
-def _versions(
+def step_snapshot(
     open_versions: DataFrame,
     batch: DataFrame,
     keys: Sequence[str],
     check_cols: Sequence[str],
     at: datetime | Column,
-    hard_deletes: bool,
+    hard_deletes: bool = True,
 ) -> DataFrame:
     """Open versions after the batch, along with those the batch closes.
 
-    Keys are unique on both sides, so one full join yields one row per key; a
+    Closed history does not take part. Keys are unique on both sides, so one full join yields one row per key; a
     changed key turns into two versions.
     """
     now = at if isinstance(at, Column) else moment(at)
@@ -56,19 +56,6 @@ def _versions(
     return joined.select(F.explode(outcome).alias("v")).select("v.*")
 
 
-def split_snapshot(
-    open_versions: DataFrame,
-    batch: DataFrame,
-    keys: Sequence[str],
-    check_cols: Sequence[str],
-    at: datetime | Column,
-    hard_deletes: bool = True,
-) -> tuple[DataFrame, DataFrame]:
-    """``(still_open, newly_closed)``; closed history need not be read at all."""
-    versions = _versions(open_versions, batch, keys, check_cols, at, hard_deletes)
-    return versions.filter(F.col(VALID_TO).isNull()), versions.filter(F.col(VALID_TO).isNotNull())
-
-
 def apply_snapshot(
     history: DataFrame,
     batch: DataFrame,
@@ -88,5 +75,5 @@ def apply_snapshot(
     history = history.select(*columns)
     closed = history.filter(F.col(VALID_TO).isNotNull())
     open_versions = history.filter(F.col(VALID_TO).isNull())
-    versions = _versions(open_versions, batch, keys, check_cols, at, hard_deletes)
+    versions = step_snapshot(open_versions, batch, keys, check_cols, at, hard_deletes)
     return closed.unionByName(versions)

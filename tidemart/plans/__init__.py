@@ -1,4 +1,11 @@
-from tidemart.plans.jobs import build_marts, load_catalog, load_rates, staging_views
+from tidemart.plans.jobs import (
+    build_marts,
+    diagnose,
+    load_catalog,
+    load_rates,
+    reconcile_rates,
+    staging_views,
+)
 from tidemart.plans.marts import (
     currency_activity,
     daily_quotes,
@@ -16,11 +23,13 @@ __all__ = [
     "daily_quotes",
     "dim_currency",
     "dim_currency_history",
+    "diagnose",
     "dim_date",
     "fact_quotes",
     "load_catalog",
     "load_rates",
     "monthly_report",
+    "reconcile_rates",
     "stage_catalog",
     "stage_quotes",
     "staging_views",

@@ -18,6 +18,8 @@ from tidemart.loads import (
     load_replace,
     load_snapshot,
     load_summary,
+    materialize,
+    write_replace,
 )
 from tidemart.plans import (
     currency_activity,
@@ -40,7 +42,7 @@ from tidemart.sources import (
     with_metadata,
     with_row_id,
 )
-from tidemart.specs import TableSpec
+from tidemart.specs import MARTS, RAW, TableSpec
 from tidemart.streaming import stream_merge
 from workload import inputs
 from workload.inputs import LOADED, SOURCE, new_warehouse, portable, table
@@ -110,30 +112,33 @@ def entity_activity(spark, sf_dir):
     return currency_activity(inputs.quotes(spark, sf_dir), inputs.catalog(spark, sf_dir))
 
 
-def _currencies(spark, sf_dir):
-    activity = currency_activity(inputs.quotes(spark, sf_dir), inputs.catalog(spark, sf_dir))
-    return dim_currency(activity, inputs.region_seed(spark, sf_dir))
-
-
 @query
 def dim_entity_seed_default(spark, sf_dir):
-    return _currencies(spark, sf_dir)
+    activity = currency_activity(inputs.quotes(spark, sf_dir), inputs.catalog(spark, sf_dir))
+    return dim_currency(activity, inputs.region_seed(spark, sf_dir))
 
 
-def _fact(spark, sf_dir):
-    daily = daily_quotes(inputs.quotes(spark, sf_dir))
-    return fact_quotes(daily, dim_date(spark, *DATES), _currencies(spark, sf_dir))
+def _star(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """``(fact, dates)`` over stored raw and dimension tables, as the jobs build them."""
+    wh = new_warehouse(spark)
+    write_replace(wh, inputs.raw_rates(spark, sf_dir), RAW, "rates")
+    quotes = stage_quotes(wh.read(RAW, "rates"))
+    dates = materialize(wh, dim_date(spark, *DATES), MARTS, "dim_fecha")
+    activity = currency_activity(quotes, inputs.catalog(spark, sf_dir))
+    currencies = dim_currency(activity, inputs.region_seed(spark, sf_dir))
+    currencies = materialize(wh, currencies, MARTS, "dim_moneda")
+    return fact_quotes(daily_quotes(quotes), dates, currencies), dates
 
 
 @query
 def fact_star(spark, sf_dir):
-    fact = _fact(spark, sf_dir)
+    fact, _ = _star(spark, sf_dir)
     return fact.withColumn("cotizacion_inversa", F.round("cotizacion_inversa", 12))
 
 
 @query
 def monthly_quote_report(spark, sf_dir):
-    return monthly_report(_fact(spark, sf_dir), dim_date(spark, *DATES))
+    return monthly_report(*_star(spark, sf_dir))
 
 
 # -- sources --------------------------------------------------------------------
