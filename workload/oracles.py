@@ -14,7 +14,7 @@ _RATES = f"""{_LINE_QUOTES},
 rates AS (
   SELECT date, base, currency, MAX(rate) AS rate FROM line_quotes GROUP BY 1, 2, 3
 )"""
-_DAILY = f"""{_RATES},
+_DAILY_STEPS = """
 lagged AS (
   SELECT date AS fecha, base AS moneda_base, currency AS moneda_cotizada,
          CAST(rate AS DOUBLE) AS x,
@@ -29,6 +29,7 @@ daily AS (
          CASE WHEN p IS NOT NULL THEN ROUND(100 * (x - p) / p, 6) END AS variacion_pct
   FROM lagged
 )"""
+_DAILY = f"{_RATES}, {_DAILY_STEPS}"
 _ACTIVITY = f"""{_RATES},
 catalog AS (
   SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS code,
@@ -72,7 +73,7 @@ dim AS (
   FROM activity LEFT JOIN seed ON codigo_moneda = seed.code
 )"""
 _FACT = f"""{_DIM},
-{_DAILY.replace(_RATES + ",", "").strip()},
+{_DAILY_STEPS},
 fact AS (
   SELECT CAST(strftime(d.fecha, '%Y%m%d') AS INTEGER) AS clave_fecha,
          b.clave_moneda AS clave_moneda_base, q.clave_moneda AS clave_moneda_cotizada,
@@ -83,6 +84,21 @@ fact AS (
   JOIN dim q ON q.codigo_moneda = moneda_cotizada
   WHERE d.fecha >= DATE '1996-01-01' AND d.fecha < DATE '2001-01-01'
 )"""
+_MONTHLY = """
+grouped AS (
+  SELECT strftime(fecha, '%Y-%m') AS anio_mes,
+         CAST(EXTRACT(year FROM fecha) AS INTEGER) AS anio,
+         CAST(EXTRACT(month FROM fecha) AS INTEGER) AS mes, moneda_base, moneda_cotizada,
+         COUNT(*) AS cantidad_dias_publicados,
+         ROUND(AVG(cotizacion), 8) AS cotizacion_promedio,
+         MIN(cotizacion) AS cotizacion_minima, MAX(cotizacion) AS cotizacion_maxima,
+         ARG_MIN(cotizacion, fecha) AS cotizacion_apertura,
+         ARG_MAX(cotizacion, fecha) AS cotizacion_cierre,
+         ROUND(COALESCE(STDDEV_SAMP(variacion_pct), 0), 6) AS volatilidad_pct
+  FROM fact GROUP BY 1, 2, 3, 4, 5)
+SELECT *, ROUND(100 * (cotizacion_cierre - cotizacion_apertura) / cotizacion_apertura, 6)
+          AS variacion_mensual_pct
+FROM grouped"""
 _STAMP = "'2026-01-07 12:00:00'"
 
 _CALENDAR = """
@@ -229,21 +245,12 @@ ORACLES: dict[str, str] = {
         SELECT * REPLACE (strftime(fecha, '%Y-%m-%d') AS fecha),
                {_STAMP} AS cargado_en, 'tpch' AS origen_dato
         FROM fact""",
-    "monthly_quote_report": f"""WITH {_FACT},
-        grouped AS (
-          SELECT strftime(fecha, '%Y-%m') AS anio_mes,
-                 CAST(EXTRACT(year FROM fecha) AS INTEGER) AS anio,
-                 CAST(EXTRACT(month FROM fecha) AS INTEGER) AS mes, moneda_base, moneda_cotizada,
-                 COUNT(*) AS cantidad_dias_publicados,
-                 ROUND(AVG(cotizacion), 8) AS cotizacion_promedio,
-                 MIN(cotizacion) AS cotizacion_minima, MAX(cotizacion) AS cotizacion_maxima,
-                 ARG_MIN(cotizacion, fecha) AS cotizacion_apertura,
-                 ARG_MAX(cotizacion, fecha) AS cotizacion_cierre,
-                 ROUND(COALESCE(STDDEV_SAMP(variacion_pct), 0), 6) AS volatilidad_pct
-          FROM fact GROUP BY 1, 2, 3, 4, 5)
-        SELECT *, ROUND(100 * (cotizacion_cierre - cotizacion_apertura) / cotizacion_apertura, 6)
-                  AS variacion_mensual_pct
-        FROM grouped""",
+    "monthly_quote_report": f"""WITH {_FACT}, {_MONTHLY}""",
+    "landed_files_to_report": f"""WITH {_LINE_QUOTES},
+        rates AS (
+          SELECT date, 'EUR' AS base, currency, MAX(rate) AS rate FROM line_quotes
+          WHERE date >= DATE '1999-01-04' GROUP BY 1, 2, 3),
+        {_DAILY_STEPS}, fact AS (SELECT * FROM daily), {_MONTHLY}""",
     "flatten_payload": f"""WITH {_LINE_QUOTES}
         SELECT strftime(date, '%Y-%m-%d') AS date, 'EUR' AS base, currency,
                CAST(rate AS DOUBLE) AS rate,

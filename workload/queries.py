@@ -22,12 +22,15 @@ from tidemart.loads import (
     write_replace,
 )
 from tidemart.plans import (
+    build_marts,
     currency_activity,
     daily_quotes,
     dim_currency,
     dim_currency_history,
     dim_date,
     fact_quotes,
+    load_catalog,
+    load_rates,
     monthly_report,
     stage_catalog,
     stage_quotes,
@@ -353,6 +356,28 @@ def stream_merged_payloads(spark, sf_dir):
     return wh.read("raw", "rates").select("date", "base", "currency", "rate", "amount")
 
 
+@query
+def landed_files_to_report(spark, sf_dir):
+    """The whole chain: landed replies, raw tables, checked marts, monthly report."""
+    wh = new_warehouse(spark)
+    lines = inputs.line_quotes(spark, sf_dir).withColumn("amount", F.lit(1).cast("decimal(20,8)"))
+    load_rates(wh, SOURCE, inputs.land_payloads(spark, lines), "EUR", LOADED)
+    catalog = table(spark, sf_dir, "supplier").filter("s_acctbal > 0")
+    code = F.concat(F.lit("s"), F.col("s_suppkey").cast("string"))
+    path = f"{wh.root}/landing/catalog"
+    catalog.select(F.to_json(F.create_map(code, F.col("s_name"))).alias("value")).write.text(path)
+    load_catalog(wh, SOURCE, path, LOADED)
+    marts = build_marts(
+        wh,
+        SOURCE,
+        snapshot_at=LOADED,
+        today=date(2026, 1, 7),
+        calendar_end=date(2028, 1, 1),
+        seed=inputs.region_seed(spark, sf_dir),
+    )
+    return marts["rpt_cotizacion_mensual"]
+
+
 # -- windows and gaps -----------------------------------------------------------
 
 
