@@ -370,7 +370,7 @@ ORACLES: dict[str, str] = {
     "check_length": "SELECT c_custkey, c_mktsegment FROM customer WHERE LENGTH(c_mktsegment) <> 9",
     "check_relationships": """
         SELECT l_suppkey, COUNT(*) AS n_records FROM lineitem
-        WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) GROUP BY 1""",
+        WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 2000) GROUP BY 1""",
     "check_reciprocal": f"""WITH {_RATES},
         inverses AS (
           SELECT *, CAST(ROUND(1.0 / CAST(rate AS DOUBLE), 8) AS DECIMAL(10,8)) AS inverse FROM rates)
@@ -399,7 +399,7 @@ ORACLES: dict[str, str] = {
             _check(
                 "relationships_l_suppkey",
                 "warn",
-                "(SELECT COUNT(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0))",
+                "(SELECT COUNT(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 2000))",
             ),
             _check(
                 "no_future_l_shipdate",

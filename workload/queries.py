@@ -544,7 +544,7 @@ def check_length(spark, sf_dir):
 
 @query
 def check_relationships(spark, sf_dir):
-    suppliers = table(spark, sf_dir, "supplier").filter("s_acctbal > 0")
+    suppliers = table(spark, sf_dir, "supplier").filter("s_acctbal > 2000")
     check = ops.relationships("l_suppkey", suppliers, "s_suppkey")
     return check.violations(table(spark, sf_dir, "lineitem"))
 
@@ -581,7 +581,7 @@ def freshness_status(spark, sf_dir):
 
 
 def _line_checks(spark, sf_dir) -> list[ops.Check]:
-    suppliers = table(spark, sf_dir, "supplier").filter("s_acctbal > 0")
+    suppliers = table(spark, sf_dir, "supplier").filter("s_acctbal > 2000")
     return [
         ops.not_null("l_orderkey", severity="error"),
         ops.not_null("l_shipdate"),
