@@ -13,9 +13,13 @@ from tidemart.plans import (
     currency_activity,
     daily_quotes,
     dim_currency,
+    diagnose,
     dim_date,
     fact_quotes,
+    load_rates,
     monthly_report,
+    reconcile_rates,
+    source_freshness,
     stage_catalog,
     stage_quotes,
 )
@@ -145,6 +149,26 @@ def test_build_writes_marts_and_is_repeatable(spark, warehouse):
     assert spark.table(f"stg_{SOURCE}__monedas").count() == 3
 
 
+def test_job_reports(spark, warehouse, tmp_path):
+    assert {r.n_problems for r in diagnose(warehouse, SOURCE).collect()} == {1}  # nothing there yet
+    landing = tmp_path / "rates.json"
+    landing.write_text('{"date":"2026-01-02","rates":{"USD":1.17}}')
+    assert load_rates(warehouse, SOURCE, str(landing), "EUR", SNAPSHOT).refresh
+    assert reconcile_rates(warehouse, SOURCE, str(landing), "EUR", SNAPSHOT).start == date(2025, 1, 2)
+    found = {r.table: r for r in diagnose(warehouse, SOURCE).collect()}
+    rates = found[f"raw_{SOURCE}_exchange_rates"]
+    assert (rates.n_rows, rates.cursor_max, rates.n_problems) == (1, "2026-01-02", 0)
+    assert source_freshness(warehouse, SOURCE, datetime(2026, 1, 9)).first().status == "warn"
+
+
+def test_quotes_a_dimension_lacks_are_reported(spark, warehouse):
+    load_raw(spark, warehouse)
+    build_marts(warehouse, SOURCE, SNAPSHOT, today=date(2026, 1, 7), calendar_end=date(2026, 1, 6))
+    dropped = warehouse.read("dbt_test_audit", "stg_cotizaciones_relationships_fecha")
+    assert rows(dropped) == [(date(2026, 1, 6), 3)]
+    assert warehouse.read("marts", "fct_cotizacion").count() == 6
+
+
 def test_failing_error_check_stops_the_marts_and_keeps_the_rows(spark, warehouse):
     nameless = raw_catalog(spark).selectExpr("code", "' ' AS name", "_ingested_at", "_source")
     load_raw(spark, warehouse, nameless)

@@ -84,6 +84,16 @@ def test_malformed_reply_fails(spark, tmp_path):
         read(spark, tmp_path, '{"rates":{').count()
 
 
+def test_shape_is_told_by_the_first_value(spark, tmp_path):
+    odd_key = '{"date":"2026-01-02","rates": { "a\\"}:{" : 1.5 } }'
+    spaced = '{"rates": { "2026-01-03" : {"X" : 2.5 , "Y": null} , "2026-01-04" : {} } }'
+    assert rows(read(spark, tmp_path, odd_key, spaced), "date", "currency", "rate") == [
+        (date(2026, 1, 2), 'a"}:{', D("1.5")),
+        (date(2026, 1, 3), "X", D("2.5")),
+        (date(2026, 1, 3), "Y", None),
+    ]
+
+
 @pytest.mark.parametrize("rates", ["[1]", '"n/a"', '{"2026-01-02":{"USD":"x"}}'])
 def test_rates_of_another_shape_fail(spark, tmp_path, rates):
     with pytest.raises(Exception, match="unknown shape"):

@@ -89,18 +89,16 @@ def _conform(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def _count(wh: Warehouse, schema: StructType, folders: list[str]) -> int:
-    return wh.read_folders(schema, folders).count()
-
-
 # -- whole-table loads ---------------------------------------------------------
 
 
-def write_replace(wh: Warehouse, df: DataFrame, layer: str, table: str) -> None:
+def write_replace(wh: Warehouse, df: DataFrame, layer: str, table: str) -> DataFrame:
+    """Writes a table anew and returns it for reading."""
     previous = wh.state(layer, table)
     load_id = new_load_id()
     folder = wh.folder(layer, table, load_id)
     df.write.parquet(folder)
+    written = wh.read_folders(df.schema, [folder])
     wh.commit(
         layer,
         table,
@@ -108,9 +106,10 @@ def write_replace(wh: Warehouse, df: DataFrame, layer: str, table: str) -> None:
         df.schema,
         {"all": folder},
         load_id,
-        _count(wh, df.schema, [folder]),
+        written.count(),
         previous=previous,
     )
+    return written
 
 
 def load_replace(wh: Warehouse, df: DataFrame, spec: TableSpec) -> None:
@@ -132,7 +131,7 @@ def load_append(wh: Warehouse, df: DataFrame, spec: TableSpec) -> None:
         schema,
         {**(previous.folders if previous else {}), load_id: folder},
         load_id,
-        _count(wh, schema, [folder]),
+        wh.read_folders(schema, [folder]).count(),
         cursor=previous.cursor if previous else None,
         previous=previous,
     )
@@ -313,8 +312,7 @@ def materialize(wh: Warehouse, df: DataFrame, layer: str, name: str) -> DataFram
     """Realises a model the way its layer asks for and returns it for reading."""
     kind = MATERIALIZATION[layer]
     if kind == "table":
-        write_replace(wh, df, layer, name)
-        return wh.read(layer, name)
+        return write_replace(wh, df, layer, name)
     if kind == "view":
         df.createOrReplaceTempView(name)
     return df
@@ -322,4 +320,8 @@ def materialize(wh: Warehouse, df: DataFrame, layer: str, name: str) -> DataFram
 
 def store_failures(wh: Warehouse, table: str) -> Callable[[str, DataFrame], None]:
     """A sink for `enforce`: failing rows of a check replace those of its last run."""
-    return lambda check, violations: write_replace(wh, violations, AUDIT, f"{table}_{check}")
+
+    def store(check: str, violations: DataFrame) -> None:
+        write_replace(wh, violations, AUDIT, f"{table}_{check}")
+
+    return store

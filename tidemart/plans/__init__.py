@@ -4,6 +4,7 @@ from tidemart.plans.jobs import (
     load_catalog,
     load_rates,
     reconcile_rates,
+    source_freshness,
     staging_views,
 )
 from tidemart.plans.marts import (
@@ -30,6 +31,7 @@ __all__ = [
     "load_rates",
     "monthly_report",
     "reconcile_rates",
+    "source_freshness",
     "stage_catalog",
     "stage_quotes",
     "staging_views",
