@@ -17,6 +17,7 @@ from tidemart.plans import (
     dim_date,
     fact_quotes,
     load_rates,
+    missing_weekdays,
     monthly_report,
     reconcile_rates,
     source_freshness,
@@ -161,6 +162,15 @@ def test_job_reports(spark, warehouse, tmp_path):
     assert source_freshness(warehouse, SOURCE, datetime(2026, 1, 9)).first().status == "warn"
 
 
+def test_missing_weekdays(spark, warehouse):
+    load_merge(warehouse, raw_rates(spark), rates_spec(SOURCE))
+    gaps = missing_weekdays(warehouse, SOURCE, date(2025, 12, 31), date(2026, 1, 9))
+    assert rows(gaps) == [
+        ("EUR", date(2025, 12, 31), date(2026, 1, 1), 2),
+        ("EUR", date(2026, 1, 7), date(2026, 1, 8), 2),
+    ]
+
+
 def test_quotes_a_dimension_lacks_are_reported(spark, warehouse):
     load_raw(spark, warehouse)
     build_marts(warehouse, SOURCE, SNAPSHOT, today=date(2026, 1, 7), calendar_end=date(2026, 1, 6))

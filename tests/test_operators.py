@@ -174,8 +174,8 @@ def test_history_invariants_on_random_catalogs(spark):
     assert checked.filter("dbt_valid_to > following OR (dbt_valid_to IS NULL AND following IS NOT NULL)").isEmpty()
 
 
-@pytest.mark.parametrize("period", [None, "hour", "year"])
-def test_asof_lookup_equals_a_range_join(spark, period):
+@pytest.mark.parametrize(("period", "salts"), [("day", 1), ("hour", 3), ("year", 7)])
+def test_asof_lookup_equals_a_range_join(spark, period, salts):
     rng = random.Random(11)
 
     def when(n):
@@ -201,6 +201,6 @@ def test_asof_lookup_equals_a_range_join(spark, period):
         "left",
     )
     expected = joined.select("id", "f.k", "at", "name")
-    got = asof_lookup(df, history, ["k"], "at", "lo", "hi", ["name"], period)
+    got = asof_lookup(df, history, ["k"], "at", "lo", "hi", ["name"], period, salts)
     assert got.columns == ["id", "k", "at", "name"]
     assert rows(got) == rows(expected)

@@ -15,9 +15,8 @@ from pyspark.sql.types import DateType
 
 BUCKET = "__bucket"
 
-# Bucket widths that suit each kind of time column: with one row per key and
-# day, a key has at most 366 rows a year. Timestamps can come at any rate, so
-# they are cut finer.
+# Bucket widths for series with one row per key and time: by date a key has at
+# most 366 rows a year; timestamps can come at any rate, so they are cut finer.
 DATE_PERIOD = "year"
 TIMESTAMP_PERIOD = "day"
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, MapType, VariantType
 
 
-def _orderable(data_type: DataType) -> bool:
+def comparable(data_type: DataType) -> bool:
+    """Whether values can be ordered and hashed."""
     return not isinstance(data_type, MapType | VariantType)
 
 
@@ -22,7 +23,7 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     rest = [
         f.name
         for f in df.schema.fields
-        if f.name not in keys and f.name not in order_by and _orderable(f.dataType)
+        if f.name not in keys and f.name not in order_by and comparable(f.dataType)
     ]
     payload = [c for c in df.columns if c not in keys]
     if not payload:

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemart.functions import moment
 from tidemart.operators.buckets import BUCKET, time_bucket
+from tidemart.operators.dedup import comparable
 
 _VERSION = "__version"
+_SALT = "__salt"
 
 
 def valid_at(
@@ -35,7 +37,8 @@ def asof_lookup(
     valid_from: str,
     valid_to: str,
     columns: Sequence[str],
-    period: str | None = None,
+    period: str = "day",
+    salts: int = 1,
 ) -> DataFrame:
     """Left lookup of the version in force at each row's own time.
 
@@ -43,8 +46,12 @@ def asof_lookup(
     began at or before the row; it counts if it had not ended by then. Rows and
     versions are merged in time order per key and bucket (see `buckets`). No
     pairs of rows and versions are formed, and no key is held by a single task.
+    Where even one key's rows of one ``period`` are too many for a task,
+    ``salts`` cuts them further, at the price of as many copies of the versions.
     ``at`` and the validity columns are of one type.
     """
+    if salts < 1:
+        raise ValueError("salts must be at least 1")
     bucket = time_bucket(df, at, period)
     begins = history.select(
         *keys,
@@ -67,13 +74,16 @@ def asof_lookup(
         .withColumn(at, F.col(f"{_VERSION}.{valid_from}"))
     )
 
-    timeline = rows.unionByName(begins, allowMissingColumns=True).unionByName(
-        carried, allowMissingColumns=True
-    )
+    # Rows do not depend on each other, so each goes to one salt; versions to all.
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    versions = begins.unionByName(carried.select(*begins.columns)).withColumn(_SALT, every_salt)
+    hashed = [f.name for f in df.schema.fields if comparable(f.dataType)]
+    salt = F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")
+    timeline = rows.withColumn(_SALT, salt).unionByName(versions, allowMissingColumns=True)
     # Ties: a version that begins at the very time of a row is in force for it,
     # so versions (null flag) sort before rows.
     up_to_row = (
-        Window.partitionBy(*keys, BUCKET)
+        Window.partitionBy(*keys, BUCKET, _SALT)
         .orderBy(F.col(at), F.col("__is_row").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )

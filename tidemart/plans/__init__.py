@@ -3,6 +3,7 @@ from tidemart.plans.jobs import (
     diagnose,
     load_catalog,
     load_rates,
+    missing_weekdays,
     reconcile_rates,
     source_freshness,
     staging_views,
@@ -29,6 +30,7 @@ __all__ = [
     "fact_quotes",
     "load_catalog",
     "load_rates",
+    "missing_weekdays",
     "monthly_report",
     "reconcile_rates",
     "source_freshness",

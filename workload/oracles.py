@@ -211,6 +211,29 @@ def _freshness(as_of: str, status: str) -> str:
            ELSE '{status}' END AS status FROM events"""
 
 
+def _rows(condition: str) -> str:
+    return f"(SELECT COUNT(*) FROM lineitem WHERE {condition})"
+
+
+_IN_CREDIT = "(SELECT s_suppkey FROM supplier WHERE s_acctbal > 2000)"
+_REPEATED = """(SELECT COUNT(*) FROM (
+  SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1))"""
+_LATE_DAYS = """(SELECT COUNT(DISTINCT l_shipdate) FROM lineitem
+  WHERE l_shipdate > DATE '2000-01-01')"""
+_RULES = [
+    ("not_null_l_orderkey", "error", _rows("l_orderkey IS NULL")),
+    ("not_null_l_shipdate", "warn", _rows("l_shipdate IS NULL")),
+    ("between_l_quantity", "warn", _rows("NOT l_quantity BETWEEN 1 AND 50")),
+    ("between_l_discount", "warn", _rows("NOT l_discount BETWEEN 0 AND 0.05")),
+    ("length_l_returnflag", "warn", _rows("LENGTH(l_returnflag) <> 1")),
+    ("unique_combination_l_orderkey_l_linenumber", "error", _REPEATED),
+    ("relationships_l_suppkey", "warn", _rows(f"l_suppkey NOT IN {_IN_CREDIT}")),
+    ("no_future_l_shipdate", "warn", _LATE_DAYS),
+    ("session_timezone", "warn", "0"),
+    ("heavy_discount", "warn", _rows("l_discount * l_extendedprice > 9000")),
+]
+
+
 ORACLES: dict[str, str] = {
     "stage_messy_quotes": f"""WITH {_LINE_QUOTES}
         SELECT strftime(date, '%Y-%m-%d') AS fecha, UPPER(TRIM(' ' || LOWER(base))) AS moneda_base,
@@ -384,32 +407,7 @@ ORACLES: dict[str, str] = {
         _freshness(t, "pass")
         for t in ("2024-01-31 00:00:00", "2024-02-01 18:00:00", "2024-03-01 00:00:00")
     ),
-    "severity_gate": " UNION ALL ".join(
-        [
-            _check("not_null_l_orderkey", "error", "(SELECT COUNT(*) FROM lineitem WHERE l_orderkey IS NULL)"),
-            _check("not_null_l_shipdate", "warn", "(SELECT COUNT(*) FROM lineitem WHERE l_shipdate IS NULL)"),
-            _check("between_l_quantity", "warn", "(SELECT COUNT(*) FROM lineitem WHERE NOT l_quantity BETWEEN 1 AND 50)"),
-            _check("between_l_discount", "warn", "(SELECT COUNT(*) FROM lineitem WHERE NOT l_discount BETWEEN 0 AND 0.05)"),
-            _check("length_l_returnflag", "warn", "(SELECT COUNT(*) FROM lineitem WHERE LENGTH(l_returnflag) <> 1)"),
-            _check(
-                "unique_combination_l_orderkey_l_linenumber",
-                "error",
-                "(SELECT COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1))",
-            ),
-            _check(
-                "relationships_l_suppkey",
-                "warn",
-                "(SELECT COUNT(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 2000))",
-            ),
-            _check(
-                "no_future_l_shipdate",
-                "warn",
-                "(SELECT COUNT(DISTINCT l_shipdate) FROM lineitem WHERE l_shipdate > DATE '2000-01-01')",
-            ),
-            _check("session_timezone", "warn", "0"),
-            _check("heavy_discount", "warn", "(SELECT COUNT(*) FROM lineitem WHERE l_discount * l_extendedprice > 9000)"),
-        ]
-    ),
+    "severity_gate": " UNION ALL ".join(_check(*rule) for rule in _RULES),
     "raw_profile": " UNION ALL ".join(
         [
             _profile("lineitem", "lineitem", "l_orderkey, l_linenumber", "l_shipdate"),
