@@ -55,7 +55,8 @@ def main() -> int:
         except Exception as error:  # report and go on with the next query
             difference = f"{type(error).__name__}: {str(error)[:600]}"
         failed += bool(difference)
-        print(f"{'FAIL' if difference else 'ok':5}{name:32}{time.time() - start:6.1f}s {difference}", flush=True)
+        verdict = "FAIL" if difference else "ok"
+        print(f"{verdict:5}{name:32}{time.time() - start:6.1f}s {difference}", flush=True)
     return failed
 
 

@@ -170,8 +170,8 @@ def test_history_invariants_on_random_catalogs(spark):
         assert rows(now, "code", "name") == sorted(batch, key=repr)
     by_key = Window.partitionBy("code").orderBy("dbt_valid_from")
     following = F.lead("dbt_valid_from").over(by_key)
-    checked = history.withColumn("following", following)
-    assert checked.filter("dbt_valid_to > following OR (dbt_valid_to IS NULL AND following IS NOT NULL)").isEmpty()
+    overlaps = "dbt_valid_to > following OR (dbt_valid_to IS NULL AND following IS NOT NULL)"
+    assert history.withColumn("following", following).filter(overlaps).isEmpty()
 
 
 @pytest.mark.parametrize(("period", "salts"), [("day", 1), ("hour", 3), ("year", 7)])
@@ -192,12 +192,17 @@ def test_asof_lookup_equals_a_range_join(spark, period, salts):
                 break
             at = end - rng.randrange(2)  # adjacent or apart
             at = max(at, end) if rng.random() < 0.5 else end
-    facts = [(n, "k0" if rng.random() < 0.4 else f"k{rng.randrange(30)}", when(rng.randrange(2000))) for n in range(600)]
+    facts = [
+        (n, "k0" if rng.random() < 0.4 else f"k{rng.randrange(30)}", when(rng.randrange(2000)))
+        for n in range(600)
+    ]
     history = spark.createDataFrame(versions, "k STRING, name STRING, lo TIMESTAMP, hi TIMESTAMP")
     df = spark.createDataFrame(facts, "id INT, k STRING, at TIMESTAMP")
     joined = df.alias("f").join(
         history.alias("h"),
-        (F.col("f.k") == F.col("h.k")) & (F.col("lo") <= F.col("at")) & (F.col("hi").isNull() | (F.col("at") < F.col("hi"))),
+        (F.col("f.k") == F.col("h.k"))
+        & (F.col("lo") <= F.col("at"))
+        & (F.col("hi").isNull() | (F.col("at") < F.col("hi"))),
         "left",
     )
     expected = joined.select("id", "f.k", "at", "name")

@@ -15,7 +15,7 @@ WARN = "warn"
 ERROR = "error"
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Check:
     """A rule and what to do about its violations.
 

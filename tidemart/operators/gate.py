@@ -30,6 +30,8 @@ def check_results(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
     All row rules share one scan of ``df``; every other rule adds its own query.
     """
+    if not checks:
+        raise ValueError("no checks given")
     parts: list[DataFrame] = []
     row_rules = [c for c in checks if c.find is None]
     if row_rules:

@@ -24,8 +24,8 @@ def step_snapshot(
 ) -> DataFrame:
     """Open versions after the batch, along with those the batch closes.
 
-    Closed history does not take part. Keys are unique on both sides, so one full join yields one row per key; a
-    changed key turns into two versions.
+    Closed history does not take part. Keys are unique on both sides, so one
+    full join yields one row per key; a changed key turns into two versions.
     """
     now = at if isinstance(at, Column) else moment(at)
     old = open_versions.select(F.struct(*keys, *check_cols, VALID_FROM).alias("old"))
@@ -69,7 +69,8 @@ def apply_snapshot(
     A new key opens a version, a changed one closes its version and opens
     another, an unchanged one stays, a missing one is closed (``hard_deletes``),
     and a key that returns opens a fresh version. ``check_cols`` are compared
-    null-safely.
+    null-safely. To keep a history over many runs store it (`load_snapshot`):
+    each step here reads the history twice, so long chains grow their plan.
     """
     columns = [*keys, *check_cols, VALID_FROM, VALID_TO]
     history = history.select(*columns)
