@@ -12,15 +12,19 @@ sys.path[:0] = [str(ROOT), str(ROOT / "scripts")]
 from compare import compare, duck  # noqa: E402
 
 import __spark_entry__ as contract  # noqa: E402
+from workload.oracles import ORACLES  # noqa: E402
+from workload.queries import QUERIES  # noqa: E402
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not present")
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, name):
     assert compare(spark, duck(SF_DIR), SF_DIR, name) == ""
 
