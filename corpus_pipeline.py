@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import exact_dedup, packing, pii, toxicity
+from tidemart.llm import exact_dedup, jaccard, packing, pii, toxicity
 from tidemart.llm._common import read, staged
 from tidemart.llm.queries import PSEUDONYM_KEY, tokenizer_path
 
@@ -26,7 +26,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, the one with the smallest id."""
     marked = exact_dedup.dedup_exact(docs, exact_dedup.new_index(spark, docs))
-    return docs.join(marked.where("kept").select("doc_id"), "doc_id", "left_semi")
+    lost = marked.where("doc_id <> keep_id").select("doc_id")
+    return docs.join(lost, "doc_id", "left_anti")
+
+
+def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by near copies, the one with the smallest id."""
+    named = jaccard.similar_components(docs)
+    # Documents without an id can't be told from others, and stay.
+    lost = named.where("doc_id > component_id").select("doc_id")
+    return docs.join(lost, "doc_id", "left_anti")
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,6 +54,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("exact_dedup", drop_copies),
+    ("jaccard_join", drop_similar),
     ("pii", pseudonymise),
     ("packing", pack),
 ]

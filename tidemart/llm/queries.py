@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import exact_dedup, licenses, packing, pieces, pii, toxicity
+from tidemart.llm import (
+    embeddings,
+    exact_dedup,
+    jaccard,
+    licenses,
+    packing,
+    passages,
+    pieces,
+    pii,
+    suffixes,
+    toxicity,
+)
 from tidemart.llm._common import read
 
 PSEUDONYM_KEY = "tidemart-workload"
@@ -36,11 +47,19 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared_passages(read(spark, sf_dir, "documents"))
+
+
 def op4_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.PieceModel.load(tokenizer_path("piece_bpe_32k.model"))
     return pieces.round_trip(read(spark, sf_dir, "documents"), model)
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(read(spark, sf_dir, "documents"))
+
+
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = pii.pseudonymise(docs, PSEUDONYM_KEY)
@@ -57,19 +76,88 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_exact(docs, exact_dedup.new_index(spark, docs))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity,
         op2_best_fit_packing,
+        op3_shared_passages,
         op4_piece_round_trip,
+        op5_ngram_jaccard_join,
         op6_pseudonyms,
         op7_license_scan,
         op8_exact_dedup,
+        op9_embedding_near_dedup,
+        op10_suffix_array_dedup,
     )
 }
 
 ORACLES: dict[str, str] = {
+    # Unequal pairs of like size that share a shingle; then labels spread along links.
+    "op5_ngram_jaccard_join": r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, CASE
+                WHEN len(w) = 0 THEN []
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3),
+                     lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+            FROM split),
+        groups AS (
+            SELECT list_sort(s) AS s, len(s) AS n, min(doc_id) AS id FROM sets WHERE len(s) > 0
+            GROUP BY ALL),
+        items AS (SELECT id, n, unnest(s) AS x FROM groups),
+        links AS (
+            SELECT a.id AS a, b.id AS b
+            FROM items a JOIN items b ON a.x = b.x AND a.id < b.id
+                AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+            GROUP BY a.id, b.id, a.n, b.n
+            HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+        reach(id, to_id) AS (
+            SELECT id, id FROM groups
+            UNION
+            SELECT reach.id, both_ways.b FROM reach JOIN both_ways ON reach.to_id = both_ways.a),
+        named AS (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id)
+        SELECT sets.doc_id, len(sets.s) AS n_shingles,
+               coalesce(named.component_id, sets.doc_id) AS component_id
+        FROM sets
+        LEFT JOIN groups ON list_sort(sets.s) = groups.s
+        LEFT JOIN named ON named.id = groups.id""",
+    "op9_embedding_near_dedup": """
+        WITH RECURSIVE fine AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b
+            ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+               AND list_cosine_similarity(a.v, b.v) >= 0.95),
+        reach(id, to_id) AS (
+            SELECT vec_id, vec_id FROM fine
+            UNION
+            SELECT reach.id, links.b FROM reach JOIN links ON reach.to_id = links.a),
+        named AS (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id),
+        counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links,
+               coalesce(component_id, vec_id) AS component_id,
+               vec_id = coalesce(component_id, vec_id) AS kept
+        FROM embeddings LEFT JOIN named ON id = vec_id LEFT JOIN counted ON a = vec_id""",
     "op8_exact_dedup": r"""
         WITH hashed AS (
             SELECT doc_id,
