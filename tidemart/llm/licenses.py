@@ -125,8 +125,9 @@ RULES = (
 
 # Every known sentence holds one of these; a text without them needs no cutting.
 HINT = r"(?i)licen[sc]e|warrant|permission|redistribut|all\W+rights"
-# A sentence ends at . ! ? : or ; before white space, at an empty line, or at the end.
-ENDS = r"(?<=[.!?:;])\s+|\n\s*\n"
+# A sentence ends at . ! ? before white space, at : ; before a line end, at an empty
+# line, or at the end.
+ENDS = r"(?<=[.!?])\s+|(?<=[:;])[ \t]*\n|\n\s*\n"
 
 
 def normalise(sentence: Column) -> Column:
