@@ -33,6 +33,8 @@ KEPT = 6
 COUNTERS = 1 << 18
 # Rows of a tile compared by one task at once; larger tiles are cut into such blocks.
 BLOCK = 2000
+# Rows of tiles that one call takes, about.
+BUCKET_ROWS = 20_000
 
 
 def _pack(hashes: np.ndarray) -> bytes:
@@ -184,31 +186,45 @@ def _tile_pairs(members: DataFrame, percent: int) -> DataFrame:
         "own",
     )
 
+    # Most tiles are tiny, so a task's call takes many of them.
+    buckets = max(1, members.count() // BUCKET_ROWS)
+    bucket = F.pmod(F.xxhash64("key", "low", "high"), F.lit(buckets)).alias("bucket")
+
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        low, high = pdf["low"].iloc[0], pdf["high"].iloc[0]
-        pdf = pdf.sort_values("n", kind="stable")
+        pdf = pdf.sort_values(["key", "low", "high", "n"], kind="stable")
+        key, low, high = (pdf[c].to_numpy() for c in ("key", "low", "high"))
         n, own = pdf["n"].to_numpy(), pdf["own"].to_numpy()
         ids, component = pdf["id"].to_numpy(), pdf["component"].to_numpy()
         maps = np.frombuffer(b"".join(pdf["bitmap"]), np.uint64).reshape(len(pdf), -1)
+        new = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        tile = np.cumsum(np.append(0, new))
         a, b = [], []
-        for i in range(len(pdf)):
-            # Sizes from n[i] up to the largest that can still be similar.
-            end = np.searchsorted(n, n[i] * 100 // percent, "right")
-            js = np.arange(i + 1, end)
-            js = js[component[js] != component[i]]
-            if low != high:
-                js = js[own[js] != own[i]]
-            if not len(js):
+        # Each row with the one so many places on, as long as that is in its tile and
+        # not too large to be similar; sizes rise within a tile.
+        i, step = np.arange(len(pdf)), 1
+        while len(i):
+            i = i[i + step < len(pdf)]
+            j = i + step
+            some = (tile[j] == tile[i]) & (100 * n[i] >= percent * n[j])
+            i = i[some]
+            j = i + step
+            apart = (component[i] != component[j]) & ((low[i] == high[i]) | (own[i] != own[j]))
+            p, q = i[apart], j[apart]
+            step += 1
+            if not len(p):
                 continue
-            more = np.bitwise_count(maps[i] & ~maps[js]).sum(axis=1)
-            less = np.bitwise_count(maps[js] & ~maps[i]).sum(axis=1)
-            most = np.minimum(n[i] - more.astype(np.int64), n[js] - less.astype(np.int64))
-            js = js[100 * most >= percent * (n[i] + n[js] - most)]
-            a += [ids[i]] * len(js)
-            b += ids[js].tolist()
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    found = rows.groupBy("key", "low", "high").applyInPandas(compare, f"a {kind}, b {kind}")
+            x, y = maps[p], maps[q]
+            more = np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64)
+            less = np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64)
+            most = np.minimum(n[p] - more, n[q] - less)
+            near = 100 * most >= percent * (n[p] + n[q] - most)
+            a.append(np.minimum(ids[p[near]], ids[q[near]]))
+            b.append(np.maximum(ids[p[near]], ids[q[near]]))
+        none = ids[:0]
+        pairs = {"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])}
+        return pd.DataFrame(pairs).drop_duplicates()
+
+    found = rows.groupBy(bucket).applyInPandas(compare, f"a {kind}, b {kind}")
     return found.distinct()
 
 
