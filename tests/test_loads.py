@@ -207,3 +207,31 @@ def test_missing_table_is_an_error(warehouse):
     assert not warehouse.exists("raw", "nothing")
     with pytest.raises(LookupError):
         warehouse.read("raw", "nothing")
+
+
+def test_other_bucket_counts_keep_every_key(spark, warehouse):
+    def spec(buckets):
+        return TableSpec("items", ("k",), buckets=buckets)
+
+    rows_of = lambda n, v: spark.range(n).selectExpr("id AS k", f"{v} AS v")
+    load_merge(warehouse, rows_of(1000, 1), spec(16))
+    load_merge(warehouse, rows_of(5, 2), spec(24))
+    got = {r.k: r.v for r in warehouse.read("raw", "items").collect()}
+    assert warehouse.read("raw", "items").count() == 1000
+    assert got == {k: 2 if k < 5 else 1 for k in range(1000)}
+
+
+@pytest.mark.parametrize("first", [load_replace, load_append])
+def test_merge_onto_a_table_loaded_otherwise(spark, warehouse, first):
+    first(warehouse, frame(spark, FIRST), SPEC)
+    load_merge(warehouse, frame(spark, [("2026-01-10", "USD", 9.0)]), SPEC)
+    assert warehouse.read("raw", "rates").count() == 2
+    assert table(warehouse) == {("2026-01-10", "USD"): 9.0, ("2026-02-10", "USD"): 2.0}
+
+
+def test_last_day_of_a_time_window_counts_to_its_end(spark):
+    df = spark.sql(
+        "SELECT explode(array(TIMESTAMP '2026-01-02 10:00', TIMESTAMP '2026-01-03 00:00')) AS at"
+    )
+    window = LoadWindow(date(2026, 1, 1), date(2026, 1, 2))
+    assert [r["at"].day for r in filter_window(df, "at", window).collect()] == [2]

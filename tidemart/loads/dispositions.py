@@ -146,6 +146,11 @@ def _part(spec: TableSpec) -> Column:
     return F.pmod(F.xxhash64(*spec.keys), F.lit(spec.buckets)).cast("int")
 
 
+def _layout(spec: TableSpec) -> str:
+    """How a merge deals rows out; the folder name in which its partitions lie."""
+    return f"month-{spec.cursor}" if spec.by_month else f"hash-{spec.buckets}-{'-'.join(spec.keys)}"
+
+
 def _write_parts(df: DataFrame, folder: str) -> None:
     # Rebalancing cuts large partitions over several tasks and joins small ones.
     df.hint("rebalance", PART).write.partitionBy(PART).parquet(folder)
@@ -180,7 +185,9 @@ def load_merge(
 
     Rows with a known key replace the old row, other rows are added, repeated
     keys in the batch collapse to the last one, and rows not mentioned stay.
-    Only partitions the batch touches are read and rewritten. ``refresh`` starts
+    Only partitions the batch touches are read and rewritten; a table laid out in
+    another way (by a replace, an append, or other ``buckets``) is dealt anew once.
+    ``refresh`` starts
     from an empty table and cursor; the old rows serve readers until the load is
     complete. ``move_cursor=False`` keeps the incremental cursor where it was.
     """
@@ -194,7 +201,7 @@ def load_merge(
     batch = batch.withColumn(PART, _part(spec))
 
     load_id = new_load_id()
-    folder = wh.folder(spec.layer, spec.name, load_id)
+    folder = f"{wh.folder(spec.layer, spec.name, load_id)}/{_layout(spec)}"
     stored = wh.spark.read.schema(_with_part(schema))
     if base is None:
         _write_parts(batch, folder)
@@ -207,8 +214,12 @@ def load_merge(
         batch.write.parquet(incoming)
         new = stored.parquet(incoming)
         loaded = _loaded(new, spec)
-        # A key that widened may hash to another partition: then all are rewritten.
-        rekeyed = any(base.schema[k].dataType != schema[k].dataType for k in spec.keys)
+        # Keys may lie elsewhere if one widened or the table has another layout: then
+        # all partitions are rewritten.
+        rekeyed = any(base.schema[k].dataType != schema[k].dataType for k in spec.keys) or any(
+            not path.endswith(f"/{_layout(spec)}/{PART}={part}")
+            for part, path in base.folders.items()
+        )
         folders = {} if rekeyed else dict(base.folders)
         affected = sorted(base.folders) if rekeyed else loaded.parts
         old = wh.read_folders(schema, [base.folders[p] for p in affected if p in base.folders])

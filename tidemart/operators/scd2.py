@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions import moment
+from tidemart.operators.dedup import latest_by_key
 
 VALID_FROM = "dbt_valid_from"
 VALID_TO = "dbt_valid_to"
@@ -24,11 +25,13 @@ def step_snapshot(
 ) -> DataFrame:
     """Open versions after the batch, along with those the batch closes.
 
-    Closed history does not take part. Keys are unique on both sides, so one
-    full join yields one row per key; a changed key turns into two versions.
+    Closed history does not take part. A key that the batch repeats counts once,
+    by `latest_by_key`; so keys are unique on both sides, and one full join yields
+    one row per key. A changed key turns into two versions.
     """
     now = at if isinstance(at, Column) else moment(at)
     old = open_versions.select(F.struct(*keys, *check_cols, VALID_FROM).alias("old"))
+    batch = latest_by_key(batch.select(*keys, *check_cols), keys)
     new = batch.select(F.struct(*keys, *check_cols).alias("new"))
     same_key = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys]
     joined = old.join(new, same_key, "full_outer")

@@ -82,7 +82,7 @@ fact AS (
   FROM daily d
   JOIN dim b ON b.codigo_moneda = moneda_base
   JOIN dim q ON q.codigo_moneda = moneda_cotizada
-  WHERE d.fecha >= DATE '1996-01-01' AND d.fecha < DATE '2001-01-01'
+  WHERE d.fecha >= DATE '1995-01-01' AND d.fecha < DATE '2002-01-01'
 )"""
 _MONTHLY = """
 grouped AS (
@@ -272,7 +272,7 @@ ORACLES: dict[str, str] = {
     "landed_files_to_report": f"""WITH {_LINE_QUOTES},
         rates AS (
           SELECT date, 'EUR' AS base, currency, MAX(rate) AS rate FROM line_quotes
-          WHERE date >= DATE '1999-01-04' GROUP BY 1, 2, 3),
+          GROUP BY 1, 2, 3),
         {_DAILY_STEPS}, fact AS (SELECT * FROM daily), {_MONTHLY}""",
     "flatten_payload": f"""WITH {_LINE_QUOTES}
         SELECT strftime(date, '%Y-%m-%d') AS date, 'EUR' AS base, currency,
@@ -349,7 +349,7 @@ ORACLES: dict[str, str] = {
     "gaps_per_entity": f"""WITH {_LINE_QUOTES},
         weekdays AS (
           SELECT d, ROW_NUMBER() OVER (ORDER BY d) AS n
-          FROM (SELECT CAST(UNNEST(generate_series(DATE '1996-01-01', DATE '2000-12-31',
+          FROM (SELECT CAST(UNNEST(generate_series(DATE '1995-01-01', DATE '2001-12-31',
                                                    INTERVAL 1 DAY)) AS DATE) AS d)
           WHERE EXTRACT(isodow FROM d) < 6),
         entities AS (

@@ -54,7 +54,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # The calendar of the date dimension leaves out the first and last years of data.
-DATES = (date(1996, 1, 1), date(2001, 1, 1))
+# All shipping days of the test tables.
+DATES = (date(1995, 1, 1), date(2002, 1, 1))
 
 
 def query(fn: Query) -> Query:
@@ -361,11 +362,13 @@ def landed_files_to_report(spark, sf_dir):
     """The whole chain: landed replies, raw tables, checked marts, monthly report."""
     wh = new_warehouse(spark)
     lines = inputs.line_quotes(spark, sf_dir).withColumn("amount", F.lit(1).cast("decimal(20,8)"))
-    load_rates(wh, SOURCE, inputs.land_payloads(spark, lines), "EUR", LOADED)
+    landing = inputs.land_payloads(spark, lines)
+    load_rates(wh, SOURCE, landing, "EUR", LOADED, initial=date(1990, 1, 1))
     catalog = table(spark, sf_dir, "supplier").filter("s_acctbal > 0")
     code = F.concat(F.lit("s"), F.col("s_suppkey").cast("string"))
     path = f"{wh.root}/landing/catalog"
-    catalog.select(F.to_json(F.create_map(code, F.col("s_name"))).alias("value")).write.text(path)
+    picture = catalog.select(F.to_json(F.create_map(code, F.col("s_name"))).alias("value"))
+    picture.coalesce(1).write.text(path)  # one file, as a source answers
     load_catalog(wh, SOURCE, path, LOADED)
     marts = build_marts(
         wh,
@@ -373,6 +376,7 @@ def landed_files_to_report(spark, sf_dir):
         snapshot_at=LOADED,
         today=date(2026, 1, 7),
         calendar_end=date(2028, 1, 1),
+        calendar_start=DATES[0],
         seed=inputs.region_seed(spark, sf_dir),
     )
     return marts["rpt_cotizacion_mensual"]
