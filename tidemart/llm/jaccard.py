@@ -26,9 +26,9 @@ from tidemart.llm.components import components
 
 SHINGLE = 5
 PERCENT = 80
-BITS = 1024
+BITS = 512
 # Bytes of a hash kept in a stored set.
-KEPT = 6
+KEPT = 5
 # Counters of the frequency sketch.
 COUNTERS = 1 << 18
 # Rows of a tile compared by one task at once; larger tiles are cut into such blocks.
@@ -62,7 +62,7 @@ def shingle_sets(
     def work():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
-            # 48 bits of each hash, sorted; the size is of whole hashes.
+            # 40 bits of each hash, sorted; the size is of whole hashes.
             sets = Words(texts).shingles(n)
             low = [np.sort(s & np.uint64((1 << 8 * KEPT) - 1)) for s in sets]
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
@@ -130,14 +130,49 @@ def _keys(sets: DataFrame, hits: np.ndarray, percent: int) -> DataFrame:
     return map_batches(rows, work, f"id {kind}, n bigint, bitmap binary, keys array<bigint>")
 
 
+def _bounded(pairs: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and bitmaps do not rule out."""
+    kind = pairs.schema["a"].dataType.simpleString()
+
+    def side(name: str) -> DataFrame:
+        return listed.select(
+            F.col("id").alias(name), F.col("n").alias(f"{name}_n"), F.col("bitmap").alias(f"{name}_map")
+        )
+
+    both = pairs.hint("merge").join(side("b").hint("merge"), "b")
+    both = both.join(side("a").hint("merge"), "a")
+
+    def work():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            n, m = (batch.column(k).to_numpy() for k in (2, 3))
+            x, y = (
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(
+                    -1, BITS // 64
+                )
+                for k in (4, 5)
+            )
+            more = np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64)
+            less = np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64)
+            most = np.minimum(n - more, m - less)
+            return batch.select(["a", "b"]).filter(pa.array(100 * most >= percent * (n + m - most)))
+
+        return step
+
+    both = both.select("a", "b", "a_n", "b_n", "a_map", "b_map")
+    return map_batches(both, work, f"a {kind}, b {kind}")
+
+
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that reach the threshold, by exact intersection."""
+    """The pairs (a, b), a stored table, that reach the threshold by exact intersection."""
+    asked = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b"))).distinct()
+    asked = sets.select("id", "set").join(staged(asked, "asked"), "id", "left_semi")
 
     def side(name: str) -> DataFrame:
-        return sets.select(F.col("id").alias(name), F.col("set").alias(f"{name}_set"))
+        return asked.select(F.col("id").alias(name), F.col("set").alias(f"{name}_set"))
 
     kind = pairs.schema["a"].dataType.simpleString()
-    both = pairs.hint("merge").join(side("a"), "a").hint("merge").join(side("b"), "b")
+    both = pairs.hint("merge").join(side("b").hint("merge"), "b")
+    both = both.join(side("a").hint("merge"), "a")
 
     def work():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -161,31 +196,21 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(both.select("a", "b", "a_set", "b_set"), work, f"a {kind}, b {kind}")
 
 
-def _tile_pairs(members: DataFrame, percent: int) -> DataFrame:
+def _tile_pairs(members: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that a tile's bitmaps do not rule out.
 
-    ``members``: (key, id, n, component, bitmap). Tiles over BLOCK rows are cut into
-    blocks, and each two blocks meet in a task of their own.
+    ``members``: (key, rows of the tile, id, component). Tiles over BLOCK rows are cut
+    into blocks, and each two blocks meet in a task of their own.
     """
     kind = members.schema["id"].dataType.simpleString()
-    size = staged(members.groupBy("key").agg(F.count("*").alias("rows")), "tile_sizes")
-    cut = F.ceil(F.col("rows") / BLOCK).cast("int")
-    rows = join_counted(members, size, "key", "rows").withColumn("cuts", cut)
+    rows = members.withColumn("cuts", F.ceil(F.col("rows") / BLOCK).cast("int"))
     own = F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int")
     rows = rows.withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))
     )
-    rows = rows.select(
-        "key",
-        F.least("own", "other").alias("low"),
-        F.greatest("own", "other").alias("high"),
-        "id",
-        "n",
-        "component",
-        "bitmap",
-        "own",
-    )
-
+    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    rows = rows.select("key", low, high, "id", "component", "own")
+    rows = rows.join(listed.select("id", "n", "bitmap"), "id")
     # Most tiles are tiny, so a task's call takes many of them.
     buckets = max(1, members.count() // BUCKET_ROWS)
     bucket = F.pmod(F.xxhash64("key", "low", "high"), F.lit(buckets)).alias("bucket")
@@ -247,8 +272,8 @@ def similar_components(
     groups = shown.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("rows"))
     groups = staged(groups, "groups")
     firsts = groups.where("first IS NOT NULL").select(F.col("first").alias("id"))
-    one = shown.join(firsts.hint("merge"), "id", "left_semi")
-    listed = staged(_keys(one, _common_counters(shown), percent), "keys")
+    listed = _keys(shown, _common_counters(shown), percent)
+    listed = staged(listed.join(firsts.hint("merge"), "id", "left_semi"), "keys")
 
     tiles = listed.select("id", "n", F.explode("keys").alias("key"))
     # A key that only one set has brings nothing together.
@@ -265,7 +290,8 @@ def similar_components(
     small, large = F.least("n", "lead_n"), F.greatest("n", "lead_n")
     star = rows.where((F.col("id") > F.col("lead")) & (small * 100 >= large * percent))
     star = star.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = staged(_links(star, one, percent), "star_links")
+    star = staged(_bounded(star, listed, percent), "star_pairs")
+    links = staged(_links(star, shown, percent), "star_links")
     joined = staged(components(links, "a", "b"), "joined")
 
     own = rows.select("key", "id").join(joined, "id", "left")
@@ -274,11 +300,8 @@ def similar_components(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")
     )
     open_keys = staged(ends.where("low < high").select("key", "rows"), "open_keys")
-    members = join_counted(own, open_keys, "key", "rows").drop("rows")
-    members = staged(
-        members.join(listed.select("id", "n", "bitmap"), "id"), "members"
-    )
-    more = _links(staged(_tile_pairs(members, percent), "tile_pairs"), one, percent)
+    members = staged(join_counted(own, open_keys, "key", "rows"), "members")
+    more = _links(staged(_tile_pairs(members, listed, percent), "tile_pairs"), shown, percent)
     links = links.unionByName(more)
     joined = staged(components(links, "a", "b"), "joined_all")
 
