@@ -27,6 +27,8 @@ from tidemart.llm.components import components
 SHINGLE = 5
 PERCENT = 80
 BITS = 512
+# Bits of a wide bitmap for each shingle of its set, at least.
+WIDE = 4
 # Bytes of a hash kept in a stored set.
 KEPT = 5
 # Counters of the frequency sketch.
@@ -47,12 +49,23 @@ def _unpack(raw: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-def _bitmap(hashes: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(hashes % np.uint64(BITS)).astype(np.int64)] = 1
+def _bitmap(hashes: np.ndarray, size: int = BITS) -> np.ndarray:
+    bits = np.zeros(size, np.uint8)
+    bits[(hashes % np.uint64(size)).astype(np.int64)] = 1
     return np.packbits(bits)
 
 
+def _wide_bitmap(hashes: np.ndarray) -> np.ndarray:
+    """A bitmap that grows with the set; its size in bits is a power of two."""
+    return _bitmap(hashes, max(BITS, 1 << (WIDE * len(hashes) - 1).bit_length()))
+
+
+def _folded(bitmap: bytes, size: int) -> np.ndarray:
+    """The bitmap of ``size`` bytes that the same set has."""
+    parts = np.frombuffer(bitmap, np.uint8).reshape(-1, size)
+    return np.bitwise_or.reduce(parts, axis=0).view(np.uint64)
+
+
 def shingle_sets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE
 ) -> DataFrame:
@@ -134,14 +147,6 @@ def _bounded(pairs: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and bitmaps do not rule out."""
     kind = pairs.schema["a"].dataType.simpleString()
 
-    def side(name: str) -> DataFrame:
-        return listed.select(
-            F.col("id").alias(name), F.col("n").alias(f"{name}_n"), F.col("bitmap").alias(f"{name}_map")
-        )
-
-    both = pairs.hint("merge").join(side("b").hint("merge"), "b")
-    both = both.join(side("a").hint("merge"), "a")
-
     def work():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             n, m = (batch.column(k).to_numpy() for k in (2, 3))
@@ -158,42 +163,84 @@ def _bounded(pairs: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
 
         return step
 
-    both = both.select("a", "b", "a_n", "b_n", "a_map", "b_map")
+    both = _both_sides(pairs, listed, ["n", "bitmap"])
     return map_batches(both, work, f"a {kind}, b {kind}")
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b), a stored table, that reach the threshold by exact intersection."""
-    asked = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b"))).distinct()
-    asked = sets.select("id", "set").join(staged(asked, "asked"), "id", "left_semi")
+def _wide_bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that wide bitmaps do not rule out.
+
+    These take a fraction of the room that the sets take, and rule out what small
+    bitmaps, full for long texts, can't. Of two sizes, the larger folds to the smaller.
+    """
+    kind = pairs.schema["a"].dataType.simpleString()
+
+    def widen():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            maps = [_wide_bitmap(_unpack(raw)).tobytes() for raw in batch.column(2).to_pylist()]
+            return pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(maps, pa.binary())],
+                ["id", "n", "bitmap"],
+            )
+
+        return step
+
+    rows = sets.select("id", "n_shingles", "set")
+    wide = map_batches(rows, widen, f"id {kind}, n bigint, bitmap binary")
+
+    def work():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            keep = []
+            for n, m, x, y in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
+                size = min(len(x), len(y))
+                x, y = _folded(x, size), _folded(y, size)
+                more = int(np.bitwise_count(x & ~y).sum(dtype=np.int64))
+                less = int(np.bitwise_count(y & ~x).sum(dtype=np.int64))
+                most = min(n - more, m - less)
+                keep.append(100 * most >= percent * (n + m - most))
+            return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+        return step
+
+    return map_batches(_both_sides(pairs, wide, ["n", "bitmap"]), work, f"a {kind}, b {kind}")
+
+
+def _both_sides(pairs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(a, b, and for each of ``columns`` a's and b's value) of every pair."""
 
     def side(name: str) -> DataFrame:
-        return asked.select(F.col("id").alias(name), F.col("set").alias(f"{name}_set"))
+        shown = [F.col(c).alias(f"{name}_{c}") for c in columns]
+        return rows.select(F.col("id").alias(name), *shown)
 
-    kind = pairs.schema["a"].dataType.simpleString()
     both = pairs.hint("merge").join(side("b").hint("merge"), "b")
     both = both.join(side("a").hint("merge"), "a")
+    return both.select("a", "b", *(f"{name}_{c}" for c in columns for name in "ab"))
+
+
+def _asked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The sets of some pair."""
+    asked = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b"))).distinct()
+    return sets.join(staged(asked, "asked"), "id", "left_semi")
+
+
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b), a stored table, that reach the threshold by exact intersection."""
+    pairs = staged(_wide_bounded(pairs, _asked(pairs, sets), percent), "wide_pairs")
+    kind = pairs.schema["a"].dataType.simpleString()
+    both = _both_sides(pairs, _asked(pairs, sets), ["set"])
 
     def work():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             keep = []
             for x, y in zip(*(batch.column(k).to_pylist() for k in (2, 3)), strict=True):
                 x, y = _unpack(x), _unpack(y)
-                p, q = _bitmap(x), _bitmap(y)
-                most = min(
-                    len(x) - int(np.bitwise_count(p & ~q).sum()),
-                    len(y) - int(np.bitwise_count(q & ~p).sum()),
-                )
-                if 100 * most < percent * (len(x) + len(y) - most):
-                    keep.append(False)
-                    continue
                 same = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * same >= percent * (len(x) + len(y) - same))
             return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         return step
 
-    return map_batches(both.select("a", "b", "a_set", "b_set"), work, f"a {kind}, b {kind}")
+    return map_batches(both, work, f"a {kind}, b {kind}")
 
 
 def _tile_pairs(members: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
