@@ -33,6 +33,10 @@ WIDE = 4
 KEPT = 5
 # Counters of the frequency sketch.
 COUNTERS = 1 << 18
+# One in so many hashes is counted exactly; these come first as keys.
+COUNTED = 2
+# Hashes for each range of them that one call counts, about.
+RANGE_HASHES = 1_000_000
 # Rows of a tile compared by one task at once; larger tiles are cut into such blocks.
 BLOCK = 2000
 # Rows of tiles that one call takes, about.
@@ -116,31 +120,136 @@ def _common_counters(sets: DataFrame) -> np.ndarray:
     return out
 
 
-def _keys(sets: DataFrame, hits: np.ndarray, percent: int) -> DataFrame:
-    """(id, n, bitmap, keys): in order of rarity, enough hashes that similar sets share one."""
+def _counted(hashes: np.ndarray, hits: np.ndarray) -> np.ndarray:
+    """Which hashes are counted one by one: a part of the hash space, less common ones."""
+    own = hashes % np.uint64(COUNTED) == 0
+    return own & (hits[(hashes % np.uint64(COUNTERS)).astype(np.int64)] == 0)
+
+
+def _shared(sets: DataFrame, hits: np.ndarray) -> DataFrame:
+    """(digest, shared): a set's counted hashes that other sets have too.
+
+    Each is a number, frequency first, then the hash. Hashes are dealt by value, those
+    of a batch of sets together; no counted hash holds more than a few of COUNTERS of all.
+    """
+    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    ranges = 1 + total // RANGE_HASHES
+
+    def deal():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            sets = dict(zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True))
+            names = list(sets)
+            some = [s[_counted(s, hits)] for s in map(_unpack, sets.values())]
+            doc = np.repeat(np.arange(len(some)), [len(s) for s in some])
+            hashes = np.concatenate(some) if some else np.zeros(0, np.uint64)
+            part = (hashes >> np.uint64(8)) % np.uint64(ranges)
+            order = np.lexsort((hashes, part))
+            hashes, doc, part = hashes[order], doc[order], part[order]
+            at = np.flatnonzero(np.diff(part, prepend=np.uint64(ranges)))
+            dealt = []
+            for i, j in zip(at, np.append(at[1:], len(part)), strict=True):
+                docs, place = np.unique(doc[i:j], return_inverse=True)
+                digests = b"".join(names[d] for d in docs)
+                place = place.astype(np.uint32 if len(docs) > 1 << 16 else np.uint16)
+                dealt.append((int(part[i]), digests, _pack(hashes[i:j]), place.tobytes()))
+            columns = list(zip(*dealt, strict=True)) or [[], [], [], []]
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                ["range", "digests", "hashes", "place"],
+            )
+
+        return step
+
+    dealt = map_batches(
+        sets.select("digest", "set"), deal, "range bigint, digests binary, hashes binary, place binary"
+    )
+
+    def count(table: pa.Table) -> pa.Table:
+        names, hashes, doc, known = [], [], [], 0
+        for ids, raw, place in zip(*(table[c].to_pylist() for c in table.column_names[1:]), strict=True):
+            hashes.append(_unpack(raw))
+            places = np.frombuffer(place, f"u{len(place) // len(hashes[-1])}")
+            doc.append(places.astype(np.int64) + known)
+            names.append(ids)
+            known += len(ids) // 16
+        # Copies of a set count once.
+        raw = pa.py_buffer(b"".join(names))
+        names = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), known, [None, raw])
+        names = names.dictionary_encode()
+        hashes = np.concatenate(hashes)
+        doc = names.indices.to_numpy()[np.concatenate(doc)]
+        order = np.lexsort((doc, hashes))
+        hashes, doc = hashes[order], doc[order]
+        new = (np.diff(hashes, prepend=hashes[:1] + np.uint64(1)) != 0) | (np.diff(doc, prepend=-1) != 0)
+        hashes, doc = hashes[new], doc[new]
+        _, same, times = np.unique(hashes, return_inverse=True, return_counts=True)
+        times = times[same]
+        some = times > 1
+        most = (1 << 63 - 8 * KEPT) - 1
+        value = np.minimum(times[some], most).astype(np.uint64) << np.uint64(8 * KEPT)
+        value, doc = (value | hashes[some]).astype(np.int64), doc[some]
+        order = np.argsort(doc, kind="stable")
+        value, doc = value[order], doc[order]
+        at = np.flatnonzero(np.diff(doc, prepend=-1))
+        listed = pa.ListArray.from_arrays(
+            pa.array(np.append(at, len(doc)).astype(np.int32)), pa.array(value, pa.int64())
+        )
+        names = names.dictionary.take(pa.array(doc[at])).cast(pa.binary())
+        return pa.table({"digest": names, "shared": listed})
+
+    found = dealt.groupBy("range").applyInArrow(count, "digest binary, shared array<bigint>")
+    return found.groupBy("digest").agg(F.flatten(F.collect_list("shared")).alias("shared"))
+
+
+def _keys(sets: DataFrame, firsts: DataFrame, hits: np.ndarray, percent: int) -> DataFrame:
+    """(id, n, bitmap, keys) of each of ``firsts`` (digest, id).
+
+    The keys are, in order of rarity, enough hashes that similar sets share one.
+    Counted hashes come first, by frequency; then the others, by their counters' hits.
+    Hashes that no other set has are keys that need not be listed.
+    """
     kind = sets.schema["id"].dataType.simpleString()
 
     def work():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            keys, maps = [], []
+            maps, sizes, others = [], [], []
             for n, raw in zip(*(batch.column(k).to_pylist() for k in (1, 2)), strict=True):
                 hashes = _unpack(raw)
-                order = np.lexsort((hashes, hits[(hashes % np.uint64(COUNTERS)).astype(np.int64)]))
-                some = n - -(-percent * n // 100) + 1
-                keys.append(hashes[order[:some]].astype(np.int64))
+                counted = _counted(hashes, hits)
+                rest = hashes[~counted]
+                order = np.lexsort((rest, hits[(rest % np.uint64(COUNTERS)).astype(np.int64)]))
+                sizes.append(int(counted.sum()))
+                some = max(0, n - -(-percent * n // 100) + 1 - sizes[-1])
+                others.append(rest[order[:some]].astype(np.int64))
                 maps.append(_bitmap(hashes).tobytes())
-            ends = np.cumsum([0] + [len(k) for k in keys]).astype(np.int32)
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
             return pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(maps, pa.binary()), listed],
-                ["id", "n", "bitmap", "keys"],
+                [
+                    *(batch.column(k) for k in (0, 1, 3)),
+                    pa.array(maps, pa.binary()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(others, pa.list_(pa.int64())),
+                ],
+                ["id", "n", "digest", "bitmap", "counted", "others"],
             )
 
         return step
 
-    rows = sets.select("id", "n_shingles", "set")
-    return map_batches(rows, work, f"id {kind}, n bigint, bitmap binary, keys array<bigint>")
+    own = map_batches(
+        sets.select("id", "n_shingles", "set", "digest"),
+        work,
+        f"id {kind}, n bigint, digest binary, bitmap binary, counted bigint, others array<bigint>",
+    )
+    shared = F.array_sort(F.array_distinct(F.coalesce("shared", F.array().cast("array<bigint>"))))
+    some = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    # Of the counted hashes, those that only this set has come first.
+    left = F.greatest(some - (F.col("counted") - F.size("shared")), F.lit(0)).cast("int")
+    hash_of = F.transform(
+        F.slice("shared", F.lit(1), left), lambda x: x.bitwiseAND(F.lit((1 << 8 * KEPT) - 1))
+    )
+    own = own.join(firsts, ["digest", "id"], "left_semi")
+    both = own.join(_shared(sets, hits), "digest", "left").withColumn("shared", shared)
+    return both.select("id", "n", "bitmap", F.concat(hash_of, "others").alias("keys"))
 
 
 def _bounded(pairs: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
@@ -318,9 +427,8 @@ def similar_components(
     shown = sets.where("n_shingles > 0")
     groups = shown.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("rows"))
     groups = staged(groups, "groups")
-    firsts = groups.where("first IS NOT NULL").select(F.col("first").alias("id"))
-    listed = _keys(shown, _common_counters(shown), percent)
-    listed = staged(listed.join(firsts.hint("merge"), "id", "left_semi"), "keys")
+    firsts = groups.where("first IS NOT NULL").select("digest", F.col("first").alias("id"))
+    listed = staged(_keys(shown, firsts, _common_counters(shown), percent), "keys")
 
     tiles = listed.select("id", "n", F.explode("keys").alias("key"))
     # A key that only one set has brings nothing together.
