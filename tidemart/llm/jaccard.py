@@ -26,7 +26,7 @@ from tidemart.llm.components import components
 
 SHINGLE = 5
 PERCENT = 80
-BITS = 512
+BITS = 2048
 # Bits of a wide bitmap for each shingle of its set, at least.
 WIDE = 4
 # Bytes of a hash kept in a stored set.
