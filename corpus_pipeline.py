@@ -14,6 +14,7 @@ from tidemart.llm._common import read, staged
 from tidemart.llm.queries import PSEUDONYM_KEY, tokenizer_path
 
 TOXIC_FROM = 0.5
+ROW = "__row"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,19 +24,32 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("__toxicity") < TOXIC_FROM).drop("__toxicity")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row; ids may be null or repeated.
+
+    Stored, so that each reading has the same numbers.
+    """
+    return staged(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, the one with the smallest id."""
-    marked = exact_dedup.dedup_exact(docs, exact_dedup.new_index(spark, docs))
-    lost = marked.where("doc_id <> keep_id").select("doc_id")
-    return docs.join(lost, "doc_id", "left_anti")
+    """Of rows with equal texts, one with the smallest id; no id is larger than any."""
+    rows = _numbered(docs)
+    marked = exact_dedup.dedup_exact(rows, exact_dedup.new_index(spark, rows), row_col=ROW)
+    return rows.join(marked.where("NOT kept").select(ROW), ROW, "left_anti").select(docs.columns)
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents connected by near copies, the one with the smallest id."""
-    named = jaccard.similar_components(docs)
-    # Documents without an id can't be told from others, and stay.
-    lost = named.where("doc_id > component_id").select("doc_id")
-    return docs.join(lost, "doc_id", "left_anti")
+    """Of rows connected by near copies, one with the smallest id, as for equal texts."""
+    rows = _numbered(docs)
+    # Row numbers stand for ids, so that texts which share an id aren't taken for one.
+    named = jaccard.similar_components(rows, id_col=ROW).select(ROW, "component_id")
+    named = staged(named, "components")
+    ids = rows.select(ROW, F.col("doc_id").isNull().alias("none"), "doc_id")
+    first = named.join(ids, ROW).groupBy("component_id")
+    first = first.agg(F.min(F.struct("none", "doc_id", ROW)).alias("first"))
+    kept = first.select(F.col(f"first.{ROW}").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(docs.columns)
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

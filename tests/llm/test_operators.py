@@ -409,3 +409,29 @@ def test_pipeline(spark, docs, monkeypatch):
     # One of each component stays; texts without words differ only if not equal.
     want = {i for i in flat.values() if named[i][1] == i}
     assert {r.doc_id for r in packed if r.doc_id is not None} == want
+
+
+def test_pipeline_drops_rows_not_ids(spark):
+    rng = random.Random(11)
+    one, two, three, four, five = (prose(rng, 60) for _ in range(5))
+    near = one.split()
+    near[30] = "changed"
+    rows = [
+        (1, one), (1, one), (2, one), (2, two), (None, one), (None, three), (None, three),
+        (3, four), (4, " ".join(near)), (4, five), (None, " ".join(near[:-1])), (None, ""), (5, None),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA).repartition(3)
+    order = lambda row: (row[0] is None, row)
+
+    def left(df):
+        return sorted(((r.doc_id, r.text) for r in df.collect()), key=order)
+
+    copies = corpus_pipeline.drop_copies(spark, docs, "")
+    want = [(1, one), (2, two), (None, three), (3, four), (4, " ".join(near)), (4, five)]
+    want += [(None, " ".join(near[:-1])), (5, None)]
+    assert copies.columns == docs.columns
+    assert left(copies) == sorted(want, key=order)
+    similar = corpus_pipeline.drop_similar(spark, copies, "")
+    want = [(1, one), (2, two), (None, three), (3, four), (4, five), (5, None)]
+    assert similar.columns == docs.columns
+    assert left(similar) == sorted(want, key=order)

@@ -65,7 +65,11 @@ class DigestIndex:
 
 
 def dedup_exact(
-    docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    index: DigestIndex,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    row_col: str | None = None,
 ) -> DataFrame:
     """Marks which rows of ``docs`` stay: (id, keep_id, group_size, kept, text_sha256).
 
@@ -73,13 +77,14 @@ def dedup_exact(
     then the earlier document does. Null texts count as empty; a null id is larger
     than any other. Of rows that repeat an id and a text, one is kept. An empty
     input gives no rows. Other columns are ignored, whatever their names.
-    ``group_size`` counts this batch.
+    ``group_size`` counts this batch. ``row_col``, if given, is a column of stored row
+    numbers; the result has it, too, to find the rows by.
     """
     rows = staged(
         docs.select(
             F.col(id_col).alias("id"),
             text_digest(F.col(text_col)).alias("digest"),
-            F.monotonically_increasing_id().alias("row"),
+            (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
         ),
         "digests",
     )
@@ -97,6 +102,7 @@ def dedup_exact(
         "group_size",
         kept.alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        *([F.col("row").alias(row_col)] if row_col else []),
     )
 
 
