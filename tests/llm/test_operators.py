@@ -142,6 +142,28 @@ def test_suffix_dedup(docs):
     assert {i: (*r[:3], bytes(r[3])) for i, r in got.items()} == want
 
 
+def test_suffix_dedup_tells_rows_that_share_an_id(spark):
+    rng = random.Random(12)
+    one, two, three, four = (prose(rng, 40) for _ in range(4))
+    part = three[50:150]
+    rows = [(1, one), (1, one), (2, two), (2, one), (3, f"{part} {four}"), (None, one)]
+    rows += [(None, three), (None, three), (None, prose(rng, 40)), (None, None)]
+    rows += [(4, two[:120]), (4, f"{prose(rng, 9)} {part}")]
+    want = []
+    for i, t in rows:
+        raw, owner = (t or "").encode(), float("inf") if i is None else i
+        gone = np.zeros(len(raw), bool)
+        for j, other in rows:
+            for k in range(len(raw) - 49) if j is not None and j < owner else ():
+                if raw[k : k + 50] in (other or "").encode():
+                    gone[k : k + 50] = True
+        want.append((str(i), len(raw), int(gone.sum()), bytes(np.frombuffer(raw, np.uint8)[~gone])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = suffixes.remove_repeats(df).collect()
+    got = [(str(r.doc_id), r.n_bytes, r.n_removed, bytes(r.kept)) for r in found]
+    assert sorted(got) == sorted(want)
+
+
 def test_merged_transforms_are_sorted():
     rng = random.Random(3)
     strings = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 40))).encode() for _ in range(30)]

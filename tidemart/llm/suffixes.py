@@ -173,12 +173,12 @@ def remove_repeats(
     small = staged(rows.select("id", "owner", "digest", F.length("raw").alias("n")), "texts")
     equal = small.groupBy("digest").agg(F.min("owner").alias("lead"), F.count("*").alias("rows"))
     equal = staged(equal, "equal")
-    leads = equal.select("digest", F.col("lead").alias("owner"))
-    leads = staged(small.join(leads, ["digest", "owner"], "left_semi").select("owner"), "leads")
+    # A row is told by owner and digest; rows that share both lose the same.
+    leads = equal.select(F.col("lead").alias("owner"), "digest")
     total = small.agg(F.sum(F.col("n").cast("bigint"))).first()[0] or 0
     groups = max(1, -(-int(total) // GROUP_BYTES))
-    group = F.pmod(F.xxhash64("owner"), F.lit(groups)).cast("int").alias("g")
-    texts = rows.select("owner", group, "raw").where(F.length("raw") >= length)
+    group = F.pmod(F.xxhash64("owner", "digest"), F.lit(groups)).cast("int").alias("g")
+    texts = rows.select("owner", group, "raw", "digest").where(F.length("raw") >= length)
 
     # 1. Anchors of each group, and those that several documents have.
     def anchors():
@@ -208,7 +208,7 @@ def remove_repeats(
 
         return step
 
-    sent = map_batches(texts, anchors, "part int, g int, anchors binary")
+    sent = map_batches(texts.drop("digest"), anchors, "part int, g int, anchors binary")
 
     def shared(pdf: pd.DataFrame) -> pd.DataFrame:
         lists = [np.frombuffer(raw, np.uint64) for raw in pdf["anchors"]]
@@ -225,16 +225,18 @@ def remove_repeats(
     common = staged(sent.groupBy("part").applyInPandas(shared, "g int, anchors binary"), "common")
 
     # 2. Stretches with such anchors. Of equal ones in a group the first goes on.
-    searched = texts.join(leads.hint("merge"), "owner", "left_semi").select("g", "owner", "raw")
+    searched = texts.join(leads.hint("merge"), ["owner", "digest"], "left_semi")
+    searched = searched.select("g", "owner", "digest", "raw")
 
     def stretches(left: pa.Table, right: pa.Table) -> pa.Table:
         known = [np.frombuffer(x, np.uint64) for x in right.column("anchors").to_pylist()]
         known = np.sort(np.concatenate(known)) if known else np.zeros(0, np.uint64)
-        columns: list[list] = [[], [], [], [], []]
+        columns: list[list] = [[], [], [], [], [], []]
         for whole in left.combine_chunks().to_batches() if len(known) else ():
             for batch in slices(whole):
                 texts = batch.column("raw").to_pylist()
                 owner = batch.column("owner").to_pylist()
+                digest = batch.column("digest").to_pylist()
                 text, start, end, anchor = anchored(texts, length)
                 at = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
                 some = known[at] == anchor
@@ -246,6 +248,7 @@ def remove_repeats(
                     columns[2].append(a)
                     columns[3].append(b - 1 + length)
                     columns[4].append(texts[t][a : b - 1 + length])
+                    columns[5].append(digest[t])
         firsts: dict[bytes, int] = {}
         for o, raw in zip(columns[1], columns[4], strict=True):
             if o < firsts.get(raw, last + 1):
@@ -254,11 +257,12 @@ def remove_repeats(
         for i, (o, raw) in enumerate(zip(columns[1], columns[4], strict=True)):
             if o > firsts[raw]:
                 columns[0][i], columns[4][i] = -1, None
-        types = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        types = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
         arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-        return pa.table(dict(zip(["bucket", "owner", "start", "end", "raw"], arrays, strict=True)))
+        names = ["bucket", "owner", "start", "end", "raw", "digest"]
+        return pa.table(dict(zip(names, arrays, strict=True)))
 
-    schema = "bucket int, owner bigint, start int, end int, raw binary"
+    schema = "bucket int, owner bigint, start int, end int, raw binary, digest binary"
     cut = searched.groupBy("g").cogroup(common.groupBy("g")).applyInArrow(stretches, schema)
     cut = staged(cut, "stretches")
 
@@ -273,22 +277,24 @@ def remove_repeats(
         of = string[new]
         start = pdf["start"].to_numpy(np.int64)[of]
         low, high = offset[new], offset[np.append(new[1:], True)[: len(string)]]
-        return pd.DataFrame({"owner": owners[of], "start": start + low, "end": start + high + length})
+        whose = {"owner": owners[of], "digest": pdf["digest"].to_numpy()[of]}
+        return pd.DataFrame(whose | {"start": start + low, "end": start + high + length})
 
-    spans = "owner bigint, start bigint, end bigint"
+    spans = "owner bigint, digest binary, start bigint, end bigint"
     found = cut.where("bucket >= 0").groupBy("bucket").applyInPandas(search, spans)
     own = cut.where("bucket < 0").select(
-        "owner", F.col("start").cast("bigint"), F.col("end").cast("bigint")
+        "owner", "digest", F.col("start").cast("bigint"), F.col("end").cast("bigint")
     )
-    listed = found.union(own).groupBy("owner")
+    listed = found.union(own).groupBy("owner", "digest")
     listed = listed.agg(F.collect_list(F.struct("start", "end")).alias("found"))
 
     # 4. What each document keeps; a later copy of a text keeps nothing, if long enough.
     with_lead = join_counted(small.select("id", "owner", "digest"), equal, "digest", "rows")
-    copies = with_lead.where("owner > lead").select("owner").distinct()
+    copies = with_lead.where("owner > lead").select("owner", "digest").distinct()
     doomed = staged(copies.withColumn("copy", F.lit(True)), "copies")
-    marked = rows.drop("digest").hint("merge").join(staged(listed, "spans"), "owner", "left")
-    marked = marked.hint("merge").join(doomed, "owner", "left")
+    row = ["owner", "digest"]
+    marked = rows.hint("merge").join(staged(listed, "spans"), row, "left")
+    marked = marked.hint("merge").join(doomed, row, "left")
     marked = marked.select("id", "raw", "found", "copy")
 
     def cut_out():
