@@ -200,6 +200,43 @@ def test_chains_and_alignment():
     assert passages.align([(10, 10), (70, 72)], a, b) == (0, 100, 0, 102, 100)
 
 
+@pytest.mark.parametrize(
+    "first, gap, other_gap, second",
+    [(50, 30, 30, 50), (100, 60, 60, 100), (60, 0, 90, 60), (50, 30, 41, 50)],
+)
+def test_passages_on_both_sides_of_a_gap(spark, first, gap, other_gap, second):
+    rng = random.Random(first + gap + other_gap)
+    one, two = prose(rng, first), prose(rng, second)
+    texts = [" ".join([prose(rng, 20), one, prose(rng, g), two, prose(rng, 20)]) for g in (other_gap, gap)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got, words = set(), [t.split() for t in texts]
+    for r in passages.shared_passages(df).collect():
+        a, b = words[1][r.start : r.end], words[0][r.other_start : r.other_end]
+        assert (r.doc_id, r.other_id) == (1, 0) and min(len(a), len(b)) >= 50
+        assert r.similarity >= 0.8 and r.n_same <= passages.common_words(np.array(a), np.array(b))
+        got.update(range(r.start, r.end))
+    assert {*range(20, 20 + first), *range(20 + first + gap, 20 + first + gap + second)} <= got
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_parts_cover_all_that_is_alike(seed):
+    rng = np.random.default_rng(seed)
+    steps = np.where(rng.random((120, 2)) < 0.8, 1, rng.integers(1, 9, (120, 2)))
+    words = np.cumsum(steps, axis=0)
+    a, b = rng.integers(0, 4, 30), rng.integers(0, 4, 25)
+    places = passages.common_places(a, b)
+    assert len(places) == passages.common_words(a, b) and all(a[i] == b[k] for i, k in places)
+    assert all(i < j and k < m for (i, k), (j, m) in zip(places, places[1:], strict=False))
+    want = set()
+    for i in range(120):
+        for j in range(i, 120):
+            size = words[j] - words[i] + 1
+            if size.min() >= 20 and j - i + 1 >= 0.8 * size.max():
+                want.update(range(i, j + 1))
+    got = passages.alike_parts(words, 20, 0.8)
+    assert {k for i, j in got for k in range(i, j + 1)} == want
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((60, 16))
