@@ -434,6 +434,24 @@ def test_toxicity(spark):
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in marked if r.doc_id is not None)
 
 
+def test_toxic_passages_count_alike_in_any_place():
+    model = toxicity.Model(dict.fromkeys(toxicity.ngrams("grumwort"), 1.0), -0.5)
+    score = model.scorer()
+    text = lambda k: " ".join(["so"] * k + ["grumwort"] * 18 + ["so"] * (90 - k))
+    assert len({round(score(text(k)), 9) for k in range(20, 60)}) == 1
+
+
+def test_toxicity_reads_a_repeated_id_once(spark):
+    ids = [i for i in range(1, 60) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(ids[0], f"fine words {k}") for k in range(50)]
+    rows += [(i, "vexling snarkel" if i in ids[20:] else "fine words") for i in ids[1:]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    known = [(i, int(i in ids[20:])) for i in ids]
+    known = spark.createDataFrame(known, "doc_id long, toxic int")
+    score = toxicity.train(df, known, rows_per_class=12).scorer()
+    assert score("vexling snarkel") >= 0.5 > score("fine words")
+
+
 def test_empty_tables(spark, empty):
     path = tokenizer_path("word_bpe_49k.json")
     model = pieces.PieceModel.load(tokenizer_path("piece_bpe_32k.model"))

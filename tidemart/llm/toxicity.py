@@ -47,7 +47,7 @@ def words(text: str | None) -> list[str]:
 
 
 def window_starts(n: int) -> np.ndarray:
-    """Every STRIDE words; the last window ends with the text."""
+    """Every STRIDE words, to learn from; the last window ends with the text."""
     return np.unique(np.append(np.arange(0, max(1, n - WINDOW), STRIDE), max(0, n - WINDOW)))
 
 
@@ -59,7 +59,10 @@ class Model:
     bias: float
 
     def scorer(self):
-        """A function from texts to scores from 0 to 1 that remembers words."""
+        """A function from texts to scores from 0 to 1 that remembers words.
+
+        Windows start at every word, so that a passage counts alike in any place.
+        """
         weight = self.weights.get
 
         class Known(dict):
@@ -80,8 +83,7 @@ class Model:
                 top = each.mean()
             else:
                 sums = np.concatenate([[0.0], np.cumsum(each)])
-                at = window_starts(len(each))
-                top = (sums[at + WINDOW] - sums[at]).max() / WINDOW
+                top = (sums[WINDOW:] - sums[:-WINDOW]).max() / WINDOW
             return float(1 / (1 + np.exp(-np.clip(top + self.bias, -30, 30))))
 
         return score
@@ -205,7 +207,8 @@ def train(
     """A model of the labelled texts that are not held out.
 
     Fitted on at most ``rows_per_class`` texts of each class, taken by a hash of
-    their ids; null labels and ids do not count. Texts are read whole.
+    their ids; null labels and ids do not count. Texts are read whole; of rows that
+    repeat an id the one with the smallest text is.
     """
     usable = labels.where(
         F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))
@@ -217,8 +220,9 @@ def train(
     chosen = of_class[0].unionByName(of_class[1]).dropDuplicates(["id"])
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # At most 2 * rows_per_class rows are broadcast and fetched.
-    rows = texts.join(F.broadcast(chosen), "id").select("id", "text", "toxic").collect()
-    rows = sorted(rows, key=lambda r: (r["id"], r["text"] or ""))[: 4 * rows_per_class]
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("id")
+    rows = rows.agg(F.min("text").alias("text"), F.min("toxic").alias("toxic")).collect()
+    rows = sorted(rows, key=lambda r: r["id"])
     return fit([r["text"] for r in rows], np.array([r["toxic"] for r in rows], bool))
 
 
