@@ -12,13 +12,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written under the cluster's shared folder and read back.
+def staged(df: DataFrame, name: str, options: dict[str, object] | None = None) -> DataFrame:
+    """``df`` written under the cluster's shared folder (with writer ``options``) and read back.
 
     Cuts the lineage: an executor lost later costs a re-read, not a re-run.
     """
     path = f"{work_dir(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm import (
+    centroids,
+    codes,
     embeddings,
     exact_dedup,
     jaccard,
@@ -87,6 +89,57 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def _sql_rounds(name: str, rounds: int, assign: str, update: str) -> str:
+    """CTEs of a clustering: ``<name>0`` exists; round r assigns to it and makes the next.
+
+    ``assign`` and ``update`` are SQL with {old}, {near} and {new} for the round's tables.
+    """
+    steps = []
+    for r in range(rounds + 1):
+        names = {"old": f"{name}{r}", "near": f"near{r}", "new": f"{name}{r + 1}"}
+        steps.append(f"near{r} AS MATERIALIZED ({assign.format(**names)})")
+        if r < rounds:
+            steps.append(f"{name}{r + 1} AS MATERIALIZED ({update.format(**names)})")
+    return ",\n".join(steps)
+
+
+# Every vector beside every centroid, component by component: for small tables.
+_SQL_FINITE = """embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+_SQL_FLOOR = """CAST((sum(v.x) - ((sum(v.x) % count(*)) + count(*)) % count(*)) // count(*)
+                      AS BIGINT) AS x"""
+_SQL_CENTROIDS = _sql_rounds(
+    "centroid",
+    5,
+    """SELECT vec_id, arg_min(cluster, struct_pack(d, cluster)) AS cluster, min(d) AS d
+            FROM (SELECT v.vec_id, c.cluster, sum((v.x - c.x) * (v.x - c.x)) AS d
+                  FROM vector v JOIN {old} c ON v.i = c.i GROUP BY ALL) GROUP BY vec_id""",
+    f"""SELECT cluster, i, coalesce(m.x, c.x) AS x FROM {{old}} c LEFT JOIN (
+              SELECT cluster, i, {_SQL_FLOOR}
+              FROM vector v JOIN {{near}} USING (vec_id) GROUP BY cluster, i) m
+            USING (cluster, i)""",
+)
+_SQL_CODEBOOKS = _sql_rounds(
+    "entry",
+    6,
+    """SELECT vec_id, part, arg_min(e, struct_pack(d, e)) AS e, min(d) AS d
+            FROM (SELECT v.vec_id, v.part, c.e, sum((v.x - c.x) * (v.x - c.x)) AS d
+                  FROM vector v JOIN {old} c USING (part, i) GROUP BY ALL) GROUP BY vec_id, part""",
+    f"""SELECT part, e, i, coalesce(m.x, c.x) AS x FROM {{old}} c LEFT JOIN (
+              SELECT part, e, i, {_SQL_FLOOR}
+              FROM vector v JOIN {{near}} USING (vec_id, part) GROUP BY part, e, i) m
+            USING (part, e, i)""",
+)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,6 +153,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_embedding_near_dedup,
         op10_suffix_array_dedup,
+        op11_centroid_clustering,
+        op13_vector_codes,
     )
 }
 
@@ -170,4 +225,42 @@ ORACLES: dict[str, str] = {
                doc_id = min(doc_id) OVER g AS kept,
                text_sha256
         FROM hashed WINDOW g AS (PARTITION BY text_sha256)""",
+    "op11_centroid_clustering": f"""
+        WITH kept AS (
+            SELECT vec_id, embedding FROM embeddings WHERE {_SQL_FINITE} AND len(embedding) = 64),
+        vector AS MATERIALIZED (
+            SELECT vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+            FROM (SELECT vec_id, unnest(embedding) AS x, unnest(range(64)) AS i FROM kept)),
+        centroid0 AS MATERIALIZED (
+            SELECT cluster, i, x FROM vector JOIN (
+                SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cluster
+                FROM kept) USING (vec_id) WHERE cluster < 40),
+        {_SQL_CENTROIDS},
+        digest AS (
+            SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS h
+            FROM centroid5 GROUP BY cluster)
+        SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+               CAST(sum(d) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+        FROM near5 JOIN digest USING (cluster)""",
+    "op13_vector_codes": f"""
+        WITH kept AS (SELECT vec_id, label, embedding FROM embeddings WHERE {_SQL_FINITE}),
+        vector AS MATERIALIZED (
+            SELECT vec_id, place // size AS part, place % size AS i,
+                   CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+            FROM (SELECT vec_id, len(embedding) // 8 AS size, unnest(embedding) AS x,
+                         unnest(range(len(embedding))) AS place FROM kept)),
+        entry0 AS MATERIALIZED (
+            SELECT part, e, i, x FROM vector JOIN (
+                SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept)
+            USING (vec_id) WHERE e < 16),
+        {_SQL_CODEBOOKS},
+        coded AS (
+            SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY part) AS code,
+                   CAST(sum(d) AS BIGINT) AS error FROM near6 GROUP BY vec_id)
+        SELECT vec_id, code, error,
+               CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, e, i)) FROM entry6)
+                   AS codebooks_sha256
+        FROM coded JOIN kept USING (vec_id)""",
 }
