@@ -14,6 +14,7 @@ from tidemart.llm import (
     exact_dedup,
     jaccard,
     licenses,
+    main_text,
     packing,
     passages,
     pieces,
@@ -93,6 +94,12 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    found = main_text.extract_main_text(pages, main_text.train(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress_vectors(read(spark, sf_dir, "embeddings"))
 
@@ -154,6 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_embedding_near_dedup,
         op10_suffix_array_dedup,
         op11_centroid_clustering,
+        op12_main_text,
         op13_vector_codes,
     )
 }
