@@ -329,7 +329,9 @@ def extract_main_text(
     table gives no rows. A page is one sequence: it is parsed and labelled by one task.
     """
     others = [c for c in pages.columns if c not in (html_col, text_col)]
-    chosen = pages.select(*(F.col(f"`{c}`") for c in others), F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias(text_col))
+    html = F.coalesce(F.col(f"`{html_col}`"), F.lit(""))
+    # By number, as a name with a dot can't be handed to a Python function.
+    chosen = pages.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(others)), html.alias("html"))
 
     def work() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -340,4 +342,4 @@ def extract_main_text(
 
         return step
 
-    return map_batches(chosen, work, chosen.schema)
+    return map_batches(chosen, work, chosen.schema).toDF(*others, text_col)
