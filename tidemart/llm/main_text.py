@@ -277,13 +277,18 @@ def training_pages(html: Sequence[str]) -> list[tuple[list[Block], list[bool]]]:
 def train(pages: DataFrame, html_col: str = "html", id_col: str = "page_id") -> dict[str, np.ndarray]:
     """A model fitted on a bounded sample of ``pages`` and on invented pages.
 
-    The sample: ``FIT_PAGES`` pages of at most ``FIT_BYTES`` bytes, least by a hash of
-    id and text. Labels come from the pages' own elements for main text and menus;
+    The sample: ``FIT_PAGES`` different pages of at most ``FIT_BYTES`` bytes, least by a
+    hash of id and text. Labels come from the pages' own elements for main text and menus;
     pages without such aren't learned from. Without any, only invented pages are.
     """
-    html = F.col(html_col)
-    fits = pages.where(F.octet_length(html) <= FIT_BYTES).select(html.alias("html"), F.col(id_col).alias("id"))
-    least = fits.orderBy(F.xxhash64("id", "html"), "html").limit(FIT_PAGES).collect()
+    html = F.col(f"`{html_col}`")
+    fits = pages.where(F.octet_length(html) <= FIT_BYTES)
+    fits = fits.select(html.alias("html"), F.xxhash64(F.col(f"`{id_col}`"), html).alias("hash"))
+    # Hashes first: every task hands its least ones to the driver, which must not be pages.
+    least = fits.select("hash").distinct().orderBy("hash").limit(FIT_PAGES)
+    edge = least.agg(F.max("hash")).first()[0]
+    chosen = fits.where(F.col("hash") <= F.lit(edge)).dropDuplicates(["hash"])
+    least = sorted(chosen.collect(), key=lambda r: r["hash"])
     return fit(training_pages([r["html"] for r in least]))
 
 
