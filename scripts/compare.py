@@ -45,7 +45,7 @@ def compare(spark, con, sf_dir: str, name: str) -> str:
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
-    spark = build_session("compare", master="local[8]", spark__sql__shuffle__partitions="8")
+    spark = build_session("compare", master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = duck(sf_dir), 0
     for name in names:

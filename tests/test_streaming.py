@@ -11,7 +11,7 @@ def land(folder, name, quotes):
 
 
 def run(wh, tmp_path):
-    query = stream_merge(
+    stream_merge(
         wh,
         rates_spec("fx"),
         landing=str(tmp_path / "landing"),
@@ -21,7 +21,6 @@ def run(wh, tmp_path):
         overlap_days=30,
         initial=date(2026, 1, 1),
     )
-    query.awaitTermination()
     raw = wh.read("raw", rates_spec("fx").name)
     return {(str(r.date), r.currency): float(r.rate) for r in raw.collect()}
 
@@ -43,7 +42,7 @@ def test_batch_size_does_not_decide_what_is_late(warehouse, tmp_path):
     landing = tmp_path / "landing"
     land(landing, "a.json", {"2026-06-02": {"USD": 1.0}})
     land(landing, "b.json", {"2026-02-10": {"USD": 2.0}})
-    query = stream_merge(
+    stream_merge(
         warehouse,
         rates_spec("fx"),
         landing=str(landing),
@@ -54,7 +53,6 @@ def test_batch_size_does_not_decide_what_is_late(warehouse, tmp_path):
         initial=date(2026, 1, 1),
         max_files_per_trigger=1,
     )
-    query.awaitTermination()
     assert warehouse.read("raw", rates_spec("fx").name).count() == 2
     log = warehouse.log("raw", rates_spec("fx").name).collect()
     assert sorted((r.n_rows, r.n_dropped) for r in log) == [(1, 0), (1, 0)]

@@ -10,23 +10,34 @@ from tidemart.loads.dispositions import (
     write_replace,
 )
 from tidemart.loads.incremental import LoadWindow, filter_window, load_incremental, next_start, plan_load
+from tidemart.loads.intake import Intake, load_intake, reject_reason, take_in
+from tidemart.loads.manifest import files_due, landing_manifest, list_landing, paths_due, record_files
 from tidemart.loads.warehouse import TableState, Warehouse
 
 __all__ = [
+    "Intake",
     "LoadWindow",
     "TableState",
     "Warehouse",
     "evolve",
+    "files_due",
     "filter_window",
+    "list_landing",
     "load_append",
     "load_incremental",
+    "load_intake",
     "load_merge",
     "load_replace",
     "load_snapshot",
     "load_summary",
+    "landing_manifest",
     "materialize",
     "next_start",
+    "paths_due",
     "plan_load",
+    "record_files",
+    "reject_reason",
     "store_failures",
+    "take_in",
     "write_replace",
 ]

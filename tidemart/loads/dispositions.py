@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -9,6 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    AtomicType,
     ByteType,
     DataType,
     DecimalType,
@@ -22,12 +25,11 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tidemart.loads.warehouse import TableState, Warehouse, new_load_id
+from tidemart.loads.warehouse import PART, TableState, Warehouse, month_layout, new_load_id
 from tidemart.operators.dedup import latest_by_key
 from tidemart.operators.scd2 import VALID_FROM, VALID_TO, step_snapshot
-from tidemart.specs import AUDIT, MATERIALIZATION, TableSpec
+from tidemart.specs import ARRIVAL, AUDIT, MATERIALIZATION, TableSpec
 
-PART = "load_part"
 SIDE, OPEN, CLOSED = "load_side", "open", "closed"
 
 _INTEGERS = (ByteType(), ShortType(), IntegerType(), LongType())
@@ -53,12 +55,25 @@ def _wider(a: DataType, b: DataType) -> DataType | None:
     return None
 
 
+def _side_name(name: str, data_type: DataType) -> str:
+    """Name of the side column of values of a type: the whole type, so that none is cast.
+
+    ``rate__v_decimal_10_8``; a type with fields, whose names may hold any character,
+    is named by its digest.
+    """
+    full = data_type.simpleString()
+    kind = re.sub(r"[^a-z0-9]+", "_", full).strip("_")
+    if not isinstance(data_type, AtomicType):
+        kind = f"{data_type.typeName()}_{hashlib.sha256(full.encode()).hexdigest()[:12]}"
+    return f"{name}__v_{kind}"
+
+
 def evolve(schema: StructType, batch: DataFrame) -> tuple[StructType, DataFrame]:
     """Table schema after the batch, and the batch cast to it.
 
     New columns join the table and numbers widen. A column that comes with an
-    incompatible type goes to a side column, ``<name>__v_<type>``; no value is
-    dropped or turned into null.
+    incompatible type goes to a side column named after that very type, precision and
+    scale included; no value is dropped, rounded or turned into null.
     """
     fields = {f.name: f for f in schema.fields}
     casts: list[Column] = []
@@ -70,7 +85,7 @@ def evolve(schema: StructType, batch: DataFrame) -> tuple[StructType, DataFrame]
         else:
             target = _wider(known.dataType, incoming.dataType)
             if target is None:
-                name = f"{name}__v_{incoming.dataType.typeName()}"
+                name = _side_name(name, incoming.dataType)
                 fields.setdefault(name, StructField(name, incoming.dataType, True))
             elif target != known.dataType:
                 fields[name] = StructField(name, target, known.nullable)
@@ -92,10 +107,17 @@ def _conform(df: DataFrame, schema: StructType) -> DataFrame:
 # -- whole-table loads ---------------------------------------------------------
 
 
-def write_replace(wh: Warehouse, df: DataFrame, layer: str, table: str) -> DataFrame:
+def write_replace(
+    wh: Warehouse,
+    df: DataFrame,
+    layer: str,
+    table: str,
+    n_dropped: int = 0,
+    load_id: str | None = None,
+) -> DataFrame:
     """Writes a table anew and returns it for reading."""
     previous = wh.state(layer, table)
-    load_id = new_load_id()
+    df, load_id = df.drop(ARRIVAL), load_id or new_load_id()
     folder = wh.folder(layer, table, load_id)
     df.write.parquet(folder)
     written = wh.read_folders(df.schema, [folder])
@@ -107,21 +129,26 @@ def write_replace(wh: Warehouse, df: DataFrame, layer: str, table: str) -> DataF
         {"all": folder},
         load_id,
         written.count(),
+        n_dropped=n_dropped,
         previous=previous,
     )
     return written
 
 
-def load_replace(wh: Warehouse, df: DataFrame, spec: TableSpec) -> None:
+def load_replace(
+    wh: Warehouse, df: DataFrame, spec: TableSpec, n_dropped: int = 0, load_id: str | None = None
+) -> None:
     """The table becomes exactly this batch."""
-    write_replace(wh, df, spec.layer, spec.name)
+    write_replace(wh, df, spec.layer, spec.name, n_dropped, load_id)
 
 
-def load_append(wh: Warehouse, df: DataFrame, spec: TableSpec) -> None:
+def load_append(
+    wh: Warehouse, df: DataFrame, spec: TableSpec, n_dropped: int = 0, load_id: str | None = None
+) -> None:
     """Adds the batch; only for sources that never send a row twice."""
     previous = wh.state(spec.layer, spec.name)
+    df, load_id = df.drop(ARRIVAL), load_id or new_load_id()
     schema, batch = evolve(previous.schema if previous else df.schema, df)
-    load_id = new_load_id()
     folder = wh.folder(spec.layer, spec.name, load_id)
     _conform(batch, schema).write.parquet(folder)
     wh.commit(
@@ -133,6 +160,7 @@ def load_append(wh: Warehouse, df: DataFrame, spec: TableSpec) -> None:
         load_id,
         wh.read_folders(schema, [folder]).count(),
         cursor=previous.cursor if previous else None,
+        n_dropped=n_dropped,
         previous=previous,
     )
 
@@ -148,7 +176,9 @@ def _part(spec: TableSpec) -> Column:
 
 def _layout(spec: TableSpec) -> str:
     """How a merge deals rows out; the folder name in which its partitions lie."""
-    return f"month-{spec.cursor}" if spec.by_month else f"hash-{spec.buckets}-{'-'.join(spec.keys)}"
+    if spec.by_month:
+        return month_layout(spec.cursor)
+    return f"hash-{spec.buckets}-{'-'.join(spec.keys)}"
 
 
 def _write_parts(df: DataFrame, folder: str) -> None:
@@ -180,11 +210,16 @@ def load_merge(
     refresh: bool = False,
     move_cursor: bool = True,
     n_dropped: int = 0,
+    n_read: int | None = None,
+    batch_name: str | None = None,
+    load_id: str | None = None,
 ) -> None:
     """Upsert by key.
 
     Rows with a known key replace the old row, other rows are added, repeated
-    keys in the batch collapse to the last one, and rows not mentioned stay.
+    keys in the batch collapse to the last one, and rows not mentioned stay. The last
+    one is that which arrived last, where the batch has a column ``ARRIVAL``, then the
+    last by the spec's order.
     Only partitions the batch touches are read and rewritten; a table laid out in
     another way (by a replace, an append, or other ``buckets``) is dealt anew once.
     ``refresh`` starts
@@ -197,10 +232,12 @@ def load_merge(
     absent = [k for k in spec.keys if k not in batch.columns]
     if absent:
         raise ValueError(f"{spec.name}: batch lacks key columns of the table's type: {absent}")
-    batch = latest_by_key(_conform(batch, schema), spec.keys, spec.order_by)
+    order = [*([ARRIVAL] if ARRIVAL in batch.columns else []), *spec.order_by]
+    batch = latest_by_key(_conform(batch, schema), spec.keys, order).drop(ARRIVAL)
     batch = batch.withColumn(PART, _part(spec))
+    schema = StructType([f for f in schema.fields if f.name != ARRIVAL])
 
-    load_id = new_load_id()
+    load_id = load_id or new_load_id()
     folder = f"{wh.folder(spec.layer, spec.name, load_id)}/{_layout(spec)}"
     stored = wh.spark.read.schema(_with_part(schema))
     if base is None:
@@ -240,6 +277,8 @@ def load_merge(
         cursor=_cursor(base, loaded.newest) if move_cursor else (base.cursor if base else None),
         n_dropped=n_dropped,
         previous=previous,
+        n_read=n_read,
+        batch=batch_name,
     )
 
 
@@ -311,7 +350,7 @@ def load_summary(wh: Warehouse, specs: list[TableSpec]) -> DataFrame:
     summary = None
     for spec in specs:
         one = wh.log(spec.layer, spec.name).select(
-            "layer", "table", "seq", "load_id", "action", "n_rows", "n_dropped", "loaded_at"
+            "layer", "table", "seq", "load_id", "action", "n_rows", "n_dropped", "n_read", "loaded_at"
         )
         summary = one if summary is None else summary.unionByName(one)
     if summary is None:

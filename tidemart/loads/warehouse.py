@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, field
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +23,17 @@ from pyspark.sql.types import StructType
 _LOG = (
     "seq BIGINT, load_id STRING, layer STRING, `table` STRING, action STRING, "
     "folders MAP<STRING, STRING>, schema STRING, cursor STRING, "
-    "n_rows BIGINT, n_dropped BIGINT, loaded_at TIMESTAMP"
+    "n_rows BIGINT, n_dropped BIGINT, n_read BIGINT, batch STRING, loaded_at TIMESTAMP"
 )
 
+# The column whose values name a table's partitions, each a folder of its own.
+PART = "load_part"
+
+
+def month_layout(cursor: str) -> str:
+    """Folder name of partitions that are the months of ``cursor``."""
+    return f"month-{cursor}"
+
 
 def new_load_id() -> str:
     return uuid.uuid4().hex
@@ -86,8 +94,15 @@ class Warehouse:
         cursor: str | None = None,
         n_dropped: int = 0,
         previous: TableState | None = None,
+        n_read: int | None = None,
+        batch: str | None = None,
     ) -> None:
-        """Makes a load visible: one row, written by one task, appears as one file."""
+        """Makes a load visible: one row, written by one task, appears as one file.
+
+        ``n_read`` rows came in, ``n_dropped`` of them were turned away and ``n_rows``
+        went in; the others repeated a key. ``batch`` names what was loaded, so that a
+        replay can be told.
+        """
         entry = {
             "seq": previous.seq + 1 if previous else 1,
             "load_id": load_id,
@@ -99,6 +114,8 @@ class Warehouse:
             "cursor": cursor,
             "n_rows": n_rows,
             "n_dropped": n_dropped,
+            "n_read": n_rows + n_dropped if n_read is None else n_read,
+            "batch": batch,
             "loaded_at": datetime.now(UTC).isoformat(),
         }
         line = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(entry)).alias("value"))
@@ -119,6 +136,29 @@ class Warehouse:
             raise LookupError(f"no table {layer}.{table}")
         return self.read_state(state)
 
+    def read_between(
+        self, layer: str, table: str, cursor: str, start: date, end: date | None = None
+    ) -> DataFrame:
+        """Rows whose ``cursor`` lies in [start, end].
+
+        Of a table dealt out by the months of ``cursor`` only the folders of those months
+        are listed and opened.
+        """
+        state = self.state(layer, table)
+        if state is None:
+            raise LookupError(f"no table {layer}.{table}")
+        low, high = start.year * 100 + start.month, end.year * 100 + end.month if end else 999912
+        monthly = f"/{month_layout(cursor)}/{PART}="
+        folders = {
+            path
+            for part, path in state.folders.items()
+            if monthly not in path or low <= int(part) <= high
+        }
+        inside = F.col(cursor) >= F.lit(start)
+        if end is not None:
+            inside = inside & (F.col(cursor) < F.lit(end + timedelta(days=1)))
+        return self.read_folders(state.schema, sorted(folders)).filter(inside)
+
     def exists(self, layer: str, table: str) -> bool:
         return self.state(layer, table) is not None
 

@@ -18,17 +18,21 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     """The last row of each key by ``order_by``, ties broken by the other columns.
 
     The order is total over orderable columns, so the outcome does not depend on
-    the partitioning. Duplicates collapse map-side, before the shuffle.
+    the partitioning. Duplicates collapse map-side, before the shuffle, and a row is
+    its own rank: each column is shuffled once. Only a table with columns that can't be
+    compared (maps, variants) ships its rank beside its row.
     """
-    rest = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in keys and f.name not in order_by and comparable(f.dataType)
-    ]
     payload = [c for c in df.columns if c not in keys]
     if not payload:
         return df.distinct()
-    order = [*order_by, *rest]
-    ranking = F.struct(*order) if order else F.lit(0)
-    last = F.max_by(F.struct(*payload), ranking).alias("__row")
-    return df.groupBy(*keys).agg(last).select(*keys, "__row.*").select(*df.columns)
+    ranked = [f.name for f in df.schema.fields if f.name in payload and comparable(f.dataType)]
+    order = [*order_by, *(c for c in ranked if c not in order_by)]
+    rank = F.struct(*(F.col(f"`{c}`") for c in order)) if order else F.lit(0)
+    if set(order) == set(payload):
+        last = F.max(rank)
+    else:
+        last = F.max_by(F.struct(*(F.col(f"`{c}`") for c in payload)), rank)
+    grouped = df.groupBy(*(F.col(f"`{k}`") for k in keys)).agg(last.alias("__row"))
+    return grouped.select(
+        *(F.col(f"`{c}`") if c in keys else F.col(f"__row.`{c}`").alias(c) for c in df.columns)
+    )

@@ -13,8 +13,12 @@ MARTS = "marts"
 SCD2 = "scd2"
 SEEDS = "seeds"
 AUDIT = "dbt_test_audit"
+REJECTS = "rejects"
+LANDING = "landing"
 INGESTED_AT = "_ingested_at"
 SOURCE = "_source"
+# Where a landed row stands in the order of arrival; orders a batch, is never stored.
+ARRIVAL = "_arrival"
 HISTORY_START = "1999-01-04"
 CALENDAR_START = "1999-01-01"
 OVERLAP_DAYS = 7
@@ -30,8 +34,12 @@ MATERIALIZATION = {
     SCD2: "table",
     SEEDS: "table",
     AUDIT: "table",
+    REJECTS: "table",
+    LANDING: "table",
 }
 
+DISPOSITIONS = ("replace", "append", "merge")
+
 
 def raw_table_name(source: str, resource: str) -> str:
     return f"raw_{source}_{resource}"
@@ -44,7 +52,9 @@ class TableSpec:
     ``cursor`` is the business date (or time) that drives incremental loads.
     A merge rewrites only the touched partitions, so the partition has to be a
     function of the key: the month of the cursor when the cursor belongs to the
-    key, else one of ``buckets`` hash buckets of the key.
+    key, else one of ``buckets`` hash buckets of the key. ``required`` names columns
+    besides keys and cursor that must not be null. ``disposition`` says how a batch
+    enters the table: ``replace``, ``append`` or ``merge``.
     """
 
     name: str
@@ -53,6 +63,18 @@ class TableSpec:
     layer: str = RAW
     order_by: tuple[str, ...] = ()
     buckets: int = 64
+    required: tuple[str, ...] = ()
+    disposition: str = "merge"
+
+    def __post_init__(self) -> None:
+        if self.disposition not in DISPOSITIONS:
+            raise ValueError(f"{self.name}: unknown disposition {self.disposition!r}")
+
+    @property
+    def not_null(self) -> tuple[str, ...]:
+        """Columns without which a row can't enter: keys, cursor and required ones."""
+        cursor = (self.cursor,) if self.cursor else ()
+        return tuple(dict.fromkeys([*self.keys, *cursor, *self.required]))
 
     @property
     def by_month(self) -> bool:
@@ -65,8 +87,19 @@ def rates_spec(source: str) -> TableSpec:
         keys=("date", "base", "currency"),
         cursor="date",
         order_by=(INGESTED_AT,),
+        required=("rate",),
     )
 
 
 def catalog_spec(source: str) -> TableSpec:
-    return TableSpec(name=raw_table_name(source, "currencies"), keys=("code",))
+    return TableSpec(
+        name=raw_table_name(source, "currencies"),
+        keys=("code",),
+        required=("name",),
+        disposition="replace",
+    )
+
+
+def declared_tables(source: str) -> tuple[TableSpec, ...]:
+    """Every raw table of a source, with its keys, cursor and disposition."""
+    return (rates_spec(source), catalog_spec(source))

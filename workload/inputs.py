@@ -111,12 +111,26 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land_payloads(spark: SparkSession, quotes: DataFrame) -> str:
-    """Writes one reply per quote, nested or flat, with or without an amount."""
+def daily_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One quote per day and entity: the highest."""
+    return (
+        raw_rates(spark, sf_dir)
+        .groupBy("date", "currency")
+        .agg(F.max("rate").alias("rate"), F.max("base").alias("base"), F.max("amount").alias("amount"))
+    )
+
+
+def land_payloads(spark: SparkSession, quotes: DataFrame, path: str | None = None) -> str:
+    """Writes one reply per quote, nested or flat, with or without an amount.
+
+    ``fetched_at``, where there, says in which order the replies were fetched.
+    """
     rates = F.create_map("currency", "rate")
-    nested = F.struct("amount", "base", F.create_map(F.col("date").cast("string"), rates).alias("rates"))
-    flat = F.struct("base", "date", rates.alias("rates"))
+    fetched = [c for c in quotes.columns if c == "fetched_at"]
+    by_day = F.create_map(F.col("date").cast("string"), rates).alias("rates")
+    nested = F.struct("amount", "base", *fetched, by_day)
+    flat = F.struct("base", "date", *fetched, rates.alias("rates"))
     reply = F.when(F.col("base") == "A", F.to_json(nested)).otherwise(F.to_json(flat))
-    path = f"{work_dir(spark)}/landing"
+    path = path or f"{work_dir(spark)}/landing"
     quotes.select(reply.alias("value")).write.text(path)
     return path

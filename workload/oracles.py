@@ -14,6 +14,8 @@ _RATES = f"""{_LINE_QUOTES},
 rates AS (
   SELECT date, base, currency, MAX(rate) AS rate FROM line_quotes GROUP BY 1, 2, 3
 )"""
+_DAILY_RATES = f"""{_RATES},
+daily_rates AS (SELECT date, currency, MAX(rate) AS rate FROM rates GROUP BY 1, 2)"""
 _DAILY_STEPS = """
 lagged AS (
   SELECT date AS fecha, base AS moneda_base, currency AS moneda_cotizada,
@@ -234,6 +236,17 @@ _RULES = [
 ]
 
 
+# The types a column comes with, one load after the other; the first is the column's own.
+_KINDS = ("38,2", "18,8", "14,10")
+
+
+def _share(part: int, kind: str) -> str:
+    side = f"__v_decimal_{kind.replace(',', '_')}" if part else ""
+    value = "c_custkey * CAST(1.2345678912 AS DECIMAL(11,10))"
+    return f"""CASE WHEN c_custkey % 3 = {part}
+                    THEN CAST(CAST({value} AS DECIMAL({kind})) AS DOUBLE) END AS share{side}"""
+
+
 ORACLES: dict[str, str] = {
     "stage_messy_quotes": f"""WITH {_LINE_QUOTES}
         SELECT strftime(date, '%Y-%m-%d') AS fecha, UPPER(TRIM(' ' || LOWER(base))) AS moneda_base,
@@ -333,6 +346,72 @@ ORACLES: dict[str, str] = {
         FROM orders_in WHERE day <= DATE '1997-12-31'
         UNION ALL SELECT 'orders', 2, 'merge', COUNT(*) FROM orders_in
         UNION ALL SELECT 'customer', 1, 'replace', COUNT(*) FROM customer""",
+    "lower_correction": f"""WITH {_DAILY_RATES}
+        SELECT how, strftime(date, '%Y-%m-%d') AS date, 'EUR' AS base, currency,
+               CAST(rate AS DOUBLE) / CASE WHEN day(date) % 3 = 0 THEN 2 ELSE 1 END AS rate
+        FROM daily_rates, (VALUES ('together'), ('one by one'), ('stream')) AS t(how)""",
+    "catalog_picture_in_parts": """
+        SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS code, s_name || ' 1' AS name
+        FROM supplier WHERE s_acctbal > 0""",
+    "rejected_rows": f"""WITH {_ORDERS},
+        messy AS (
+          SELECT CASE WHEN o_orderstatus <> 'P' THEN day END AS day,
+                 CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS o_orderkey, o_custkey,
+                 o_orderstatus, CASE WHEN o_custkey % 5 <> 0 THEN o_totalprice END AS o_totalprice
+          FROM orders_in)
+        SELECT {_ORDER_ROW}, o_totalprice,
+               CASE WHEN day IS NULL THEN 'null o_orderdate'
+                    WHEN o_orderkey IS NULL THEN 'null o_orderkey'
+                    WHEN o_totalprice IS NULL THEN 'null o_totalprice'
+                    WHEN day < DATE '1996-01-01' THEN 'before the window'
+                    WHEN day > DATE '1997-06-30' THEN 'after the window' END AS reject_reason
+        FROM messy""",
+    "stream_late_rows": f"""WITH {_DAILY_RATES},
+        mark AS (SELECT MAX(date) - 30 AS start FROM daily_rates WHERE date <= DATE '1997-12-31'),
+        corrected AS (SELECT date, currency, rate + 1 AS rate FROM daily_rates WHERE day(date) % 2 = 0),
+        stored AS (
+          SELECT d.date, d.currency, CASE WHEN c.date >= start THEN c.rate ELSE d.rate END AS rate
+          FROM daily_rates d CROSS JOIN mark
+          LEFT JOIN corrected c ON d.date = c.date AND d.currency = c.currency
+          WHERE d.date <= DATE '1997-12-31' OR c.date >= start)
+        SELECT strftime(date, '%Y-%m-%d') AS date, 'EUR' AS base, currency,
+               CAST(rate AS DOUBLE) AS rate, NULL AS reject_reason FROM stored
+        UNION ALL
+        SELECT strftime(date, '%Y-%m-%d'), 'EUR', currency, CAST(rate AS DOUBLE), 'before the window'
+        FROM corrected, mark WHERE date < start""",
+    "schema_evolution_decimals": f"""
+        SELECT c_custkey, {", ".join(_share(part, kind) for part, kind in enumerate(_KINDS))}
+        FROM customer""",
+    "merge_after_replace": f"""WITH {_ORDERS}
+        SELECT {_ORDER_ROW}, o_totalprice + 1000 AS o_totalprice FROM orders_in""",
+    "merge_after_bucket_change": f"""
+        SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate,
+               l_suppkey, l_quantity, l_returnflag FROM (
+          SELECT * FROM {_latest("lineitem")} WHERE (l_orderkey, l_linenumber) NOT IN (
+            SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R')
+          UNION ALL
+          SELECT * REPLACE (l_quantity + 100 AS l_quantity)
+          FROM {_latest("(SELECT * FROM lineitem WHERE l_returnflag = 'R')")})""",
+    "scd2_repeated_keys": f"""
+        WITH pictures AS (
+          SELECT 1 AS n, c_custkey, c_mktsegment AS m FROM customer
+          UNION ALL SELECT 2, c_custkey, {_RENAMED} FROM customer WHERE c_acctbal >= 0
+          UNION ALL SELECT 3, c_custkey, c_mktsegment FROM customer),
+        chosen AS (
+          SELECT n, c_custkey, CASE WHEN c_custkey % 3 = 0 AND m < 'A segment'
+                                    THEN 'A segment' ELSE m END AS m FROM pictures),
+        p1 AS (SELECT * FROM chosen WHERE n = 1), p2 AS (SELECT * FROM chosen WHERE n = 2),
+        p3 AS (SELECT * FROM chosen WHERE n = 3)
+        SELECT p1.c_custkey, p1.m AS c_mktsegment, {_T1} AS dbt_valid_from,
+               CASE WHEN p2.m IS NULL OR p2.m <> p1.m THEN {_T2} WHEN p3.m <> p2.m THEN {_T3} END
+                 AS dbt_valid_to
+        FROM p1 LEFT JOIN p2 USING (c_custkey) JOIN p3 USING (c_custkey)
+        UNION ALL
+        SELECT p2.c_custkey, p2.m, {_T2}, CASE WHEN p3.m <> p2.m THEN {_T3} END
+        FROM p2 JOIN p1 USING (c_custkey) JOIN p3 USING (c_custkey) WHERE p2.m <> p1.m
+        UNION ALL
+        SELECT p3.c_custkey, p3.m, {_T3}, NULL
+        FROM p3 LEFT JOIN p2 USING (c_custkey) WHERE p2.m IS NULL OR p2.m <> p3.m""",
     "stream_merged_payloads": f"""WITH {_RATES}
         SELECT strftime(date, '%Y-%m-%d') AS date, 'EUR' AS base, currency,
                CAST(MAX(rate) AS DOUBLE) AS rate, CAST(1 AS DOUBLE) AS amount

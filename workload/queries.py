@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,7 +46,7 @@ from tidemart.sources import (
     with_metadata,
     with_row_id,
 )
-from tidemart.specs import MARTS, RAW, TableSpec
+from tidemart.specs import MARTS, RAW, REJECTS, TableSpec, catalog_spec, rates_spec
 from tidemart.streaming import stream_merge
 from workload import inputs
 from workload.inputs import LOADED, SOURCE, new_warehouse, portable, table
@@ -333,27 +334,145 @@ def summary_of_loads(spark, sf_dir):
     return load_summary(wh, [ORDERS, customers]).select("table", "seq", "action", "n_rows")
 
 
+RATES = TableSpec("rates", ("date", "base", "currency"), cursor="date", required=("rate",))
+RATE_COLUMNS = ("date", "base", "currency", "rate")
+
+
+@query
+def lower_correction(spark, sf_dir):
+    """A later file corrects quotes downwards: loaded with the first, after it, in a stream."""
+    daily = inputs.daily_quotes(spark, sf_dir)
+    halved = daily.withColumn("rate", (F.col("rate") / 2).cast("decimal(20,8)"))
+    root = f"{work_dir(spark)}/landing"
+    inputs.land_payloads(spark, daily, f"{root}/a")
+    inputs.land_payloads(spark, halved.filter(F.dayofmonth("date") % 3 == 0), f"{root}/b")
+    both, since = f"{root}/*", date(1990, 1, 1)
+    table_name = rates_spec(SOURCE).name
+
+    together, one_by_one, stream = (new_warehouse(spark) for _ in range(3))
+    load_rates(together, SOURCE, both, "EUR", LOADED, initial=since)
+    load_rates(one_by_one, SOURCE, f"{root}/a", "EUR", LOADED, initial=since)
+    load_rates(one_by_one, SOURCE, both, "EUR", LOADED, overlap_days=36500)
+    stream_merge(
+        stream, rates_spec(SOURCE), both, f"{stream.root}/checkpoint", "EUR", SOURCE, initial=since
+    )
+    parts = [
+        wh.read(RAW, table_name).select(F.lit(how).alias("how"), *RATE_COLUMNS)
+        for how, wh in (("together", together), ("one by one", one_by_one), ("stream", stream))
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def catalog_picture_in_parts(spark, sf_dir):
+    """A catalog that Spark wrote in several files, beside an older one."""
+    landing = f"{work_dir(spark)}/catalog"
+    suppliers = table(spark, sf_dir, "supplier")
+    for age, picture in enumerate((suppliers, suppliers.filter("s_acctbal > 0"))):
+        entry = F.create_map(
+            F.concat(F.lit("S"), F.col("s_suppkey").cast("string")),
+            F.concat("s_name", F.lit(f" {age}")),
+        )
+        lines = picture.repartition(5, "s_suppkey").select(F.to_json(entry).alias("value"))
+        lines.write.mode("append").text(landing)
+    wh = new_warehouse(spark)
+    load_catalog(wh, SOURCE, landing, LOADED)
+    return wh.read(RAW, catalog_spec(SOURCE).name).select("code", "name")
+
+
+def _stored_and_rejected(wh, spec, columns) -> DataFrame:
+    stored = wh.read(spec.layer, spec.name).select(*columns)
+    rejected = wh.read(REJECTS, spec.name).select(*columns, "reject_reason")
+    return stored.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(rejected)
+
+
+@query
+def rejected_rows(spark, sf_dir):
+    """Every row of a bounded load: stored, or kept with why it wasn't."""
+    wh = new_warehouse(spark)
+    key = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey"))
+    day = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))
+    price = F.when(F.col("o_custkey") % 5 != 0, F.col("o_totalprice"))
+    rows = inputs.orders(spark, sf_dir).withColumns(
+        {"o_orderkey": key, "o_orderdate": day, "o_totalprice": price}
+    )
+    spec = replace(ORDERS, required=("o_totalprice",))
+    bounds = dict(date_from=date(1996, 1, 1), date_to=date(1997, 6, 30))
+    load_incremental(wh, spec, lambda _: rows, **bounds)
+    return _stored_and_rejected(wh, spec, [*rows.columns])
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Two runs of small batches; the second brings corrections, most of them too late."""
+    daily = inputs.daily_quotes(spark, sf_dir)
+    wh, root = new_warehouse(spark), f"{work_dir(spark)}/landing"
+    corrected = daily.filter(F.dayofmonth("date") % 2 == 0).withColumn("rate", F.col("rate") + 1)
+    corrected = corrected.withColumn("rate", F.col("rate").cast("decimal(20,8)"))
+    runs = (daily.filter(F.col("date") <= F.lit(FIRST_UNTIL)), corrected)
+    for name, landed in zip("ab", runs, strict=True):
+        inputs.land_payloads(spark, landed.repartition(3, "currency"), f"{root}/{name}")
+        stream_merge(
+            wh,
+            RATES,
+            f"{root}/*",
+            checkpoint=f"{wh.root}/checkpoint",
+            base="EUR",
+            source=SOURCE,
+            overlap_days=30,
+            initial=date(1990, 1, 1),
+            max_files_per_trigger=1,
+        )
+    return _stored_and_rejected(wh, RATES, RATE_COLUMNS)
+
+
+@query
+def schema_evolution_decimals(spark, sf_dir):
+    """Decimals that no common type holds keep all their digits, each type in its column."""
+    wh, spec = new_warehouse(spark), TableSpec("customer", ("c_custkey",), buckets=4)
+    rows = table(spark, sf_dir, "customer")
+    share = F.col("c_custkey").cast("decimal(12,0)") * F.lit("1.2345678912").cast("decimal(11,10)")
+    for part, kind in enumerate(("decimal(38,2)", "decimal(18,8)", "decimal(14,10)")):
+        batch = rows.filter(F.col("c_custkey") % 3 == part)
+        load_merge(wh, batch.select("c_custkey", share.cast(kind).alias("share")), spec)
+    return wh.read(RAW, "customer")
+
+
+@query
+def merge_after_replace(spark, sf_dir):
+    """A table replaced as a whole, then merged into by key."""
+    wh, rows = new_warehouse(spark), inputs.orders(spark, sf_dir)
+    load_replace(wh, rows.filter("o_orderstatus <> 'O'"), ORDERS)
+    load_merge(wh, rows.withColumn("o_totalprice", F.col("o_totalprice") + 1000), ORDERS)
+    return wh.read(RAW, "orders")
+
+
+@query
+def merge_after_bucket_change(spark, sf_dir):
+    """A table dealt into more buckets by its second load."""
+    wh, lines = new_warehouse(spark), _lines(spark, sf_dir)
+    load_merge(wh, lines, LINES)
+    returned = lines.filter("l_returnflag = 'R'")
+    corrected = returned.withColumn("l_quantity", F.col("l_quantity") + 100)
+    load_merge(wh, corrected, replace(LINES, buckets=24))
+    return wh.read(RAW, "lineitem")
+
+
 @query
 def stream_merged_payloads(spark, sf_dir):
     """Replies arriving as files, merged by key in a stream."""
-    daily = (
-        inputs.raw_rates(spark, sf_dir)
-        .groupBy("date", "currency")
-        .agg(F.max("rate").alias("rate"), F.max("base").alias("base"), F.max("amount").alias("amount"))
-    )
-    landing = inputs.land_payloads(spark, daily)
+    landing = inputs.land_payloads(spark, inputs.daily_quotes(spark, sf_dir))
     wh = new_warehouse(spark)
-    spec = TableSpec("rates", ("date", "base", "currency"), cursor="date")
     stream_merge(
         wh,
-        spec,
+        RATES,
         landing,
         checkpoint=f"{wh.root}/checkpoint",
         base="EUR",
         source=SOURCE,
         overlap_days=36500,
         initial=date(1990, 1, 1),
-    ).awaitTermination()
+    )
     return wh.read("raw", "rates").select("date", "base", "currency", "rate", "amount")
 
 
@@ -362,6 +481,8 @@ def landed_files_to_report(spark, sf_dir):
     """The whole chain: landed replies, raw tables, checked marts, monthly report."""
     wh = new_warehouse(spark)
     lines = inputs.line_quotes(spark, sf_dir).withColumn("amount", F.lit(1).cast("decimal(20,8)"))
+    # Of a day's replies the one with the highest rate was fetched last.
+    lines = lines.withColumn("fetched_at", F.timestamp_seconds(F.col("rate") * 100))
     landing = inputs.land_payloads(spark, lines)
     load_rates(wh, SOURCE, landing, "EUR", LOADED, initial=date(1990, 1, 1))
     catalog = table(spark, sf_dir, "supplier").filter("s_acctbal > 0")
@@ -466,6 +587,18 @@ def scd2_return(spark, sf_dir):
     return _stored_history(spark, sf_dir)
 
 
+@query
+def scd2_repeated_keys(spark, sf_dir):
+    """Three stored snapshots of pictures that list many keys twice, with other names."""
+    wh = new_warehouse(spark)
+    full, later = _pictures(spark, sf_dir)
+    for at, batch in [(T1, full), (T2, later), (T3, full)]:
+        # Of a key's names the last in order counts.
+        twice = batch.filter("c_custkey % 3 = 0").withColumn("c_mktsegment", F.lit("A segment"))
+        load_snapshot(wh, batch.unionByName(twice), CUSTOMERS, ["c_mktsegment"], at)
+    return wh.read("scd2", CUSTOMERS.name)
+
+
 @query
 def history_dim(spark, sf_dir):
     full, later = _pictures(spark, sf_dir)
