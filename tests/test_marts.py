@@ -5,8 +5,9 @@ from decimal import Decimal as D
 
 import pytest
 from data import CATALOG, SOURCE, raw_catalog, raw_rates, rows
+from pyspark.sql import functions as F
 
-from tidemart.loads import load_merge, load_replace
+from tidemart.loads import audit_rows, load_merge, load_replace
 from tidemart.operators import CheckFailed
 from tidemart.plans import (
     build_marts,
@@ -174,8 +175,15 @@ def test_missing_weekdays(spark, warehouse):
 def test_quotes_a_dimension_lacks_are_reported(spark, warehouse):
     load_raw(spark, warehouse)
     build_marts(warehouse, SOURCE, SNAPSHOT, today=date(2026, 1, 7), calendar_end=date(2026, 1, 6))
-    dropped = warehouse.read("dbt_test_audit", "stg_cotizaciones_relationships_fecha")
-    assert rows(dropped) == [(date(2026, 1, 6), 3)]
+    found = audit_rows(warehouse)
+    dropped = found.filter("table = 'stg_cotizaciones' AND check = 'relationships_fecha'")
+    assert rows(dropped, "row") == [('{"fecha":"2026-01-06","n_records":3}',)]
+    # The session runs in UTC, the project doesn't; one run of the marts is one run here.
+    assert rows(found, "table", "check") == [
+        ("session", "session_timezone"),
+        ("stg_cotizaciones", "relationships_fecha"),
+    ]
+    assert found.select("run").distinct().count() == 1
     assert warehouse.read("marts", "fct_cotizacion").count() == 6
 
 
@@ -184,5 +192,26 @@ def test_failing_error_check_stops_the_marts_and_keeps_the_rows(spark, warehouse
     load_raw(spark, warehouse, nameless)
     with pytest.raises(CheckFailed, match="not_null_nombre_moneda"):
         build_marts(warehouse, SOURCE, SNAPSHOT)
-    assert warehouse.read("dbt_test_audit", "stg_monedas_not_null_nombre_moneda").count() == 3
+    found = audit_rows(warehouse).filter("check = 'not_null_nombre_moneda'")
+    assert found.count() == 3
     assert not warehouse.exists("marts", "fct_cotizacion")
+
+
+def test_raw_tables_are_checked_before_staging_hides_what_is_wrong(spark, warehouse):
+    bad = raw_rates(spark).withColumn("rate", F.when(F.col("currency") != "GRD", F.col("rate")))
+    load_replace(warehouse, bad.unionByName(bad.limit(1)), rates_spec(SOURCE))
+    load_replace(warehouse, raw_catalog(spark), catalog_spec(SOURCE))
+    with pytest.raises(CheckFailed, match="unique_combination_date_base_currency"):
+        build_marts(warehouse, SOURCE, SNAPSHOT)
+    found = audit_rows(warehouse).filter(F.col("table") == rates_spec(SOURCE).name)
+    assert rows(found.groupBy("check").count()) == [
+        ("not_null_rate", 2),
+        ("unique_combination_date_base_currency", 1),
+    ]
+    assert not warehouse.exists("seeds", "seed_moneda_region")
+
+
+def test_session_of_the_projects_zone_finds_nothing(spark, warehouse):
+    load_raw(spark, warehouse)
+    build_marts(warehouse, SOURCE, SNAPSHOT, today=date(2026, 1, 7), zone="UTC")
+    assert audit_rows(warehouse).count() == 0

@@ -4,7 +4,7 @@ import pytest
 from data import rows
 from pyspark.sql import functions as F
 
-from tidemart.loads import store_failures
+from tidemart.loads import audit_rows, store_failures
 from tidemart.operators import (
     CheckFailed,
     between,
@@ -75,14 +75,72 @@ def test_results_and_status(spark, df):
 
 
 def test_gate_stores_failures_and_raises_on_errors_only(df, warehouse):
-    store = store_failures(warehouse, "t")
+    store = store_failures(warehouse, "t", "r1")
     results = enforce(df, [not_null("id"), not_null("d", "error")], store)
     assert {r["status"] for r in results} == {"ok", "degraded"}
-    assert warehouse.read("dbt_test_audit", "t_not_null_id").count() == 2
-    assert not warehouse.exists("dbt_test_audit", "t_not_null_d")
+    assert rows(audit_rows(warehouse), "table", "check", "run") == [("t", "not_null_id", "r1")] * 2
     with pytest.raises(CheckFailed, match="unique_id"):
         enforce(df, [unique("id", "error")], store)
-    assert warehouse.read("dbt_test_audit", "t_unique_id").count() == 1
+    assert audit_rows(warehouse).filter("check = 'unique_id'").count() == 1
+
+
+def test_audit_keeps_runs_and_rules_of_one_name_apart(df, warehouse):
+    assert audit_rows(warehouse).count() == 0
+    checks = [between("x", 0, 3), between("x", 3, 9), unique("id")]
+    for run in ("r1", "r2"):
+        enforce(df, checks, store_failures(warehouse, "t", run, ["code", "d"]))
+    kept = audit_rows(warehouse)
+    assert rows(kept.groupBy("run", "check").count()) == [
+        (run, check, n)
+        for run in ("r1", "r2")
+        for check, n in (("between_x#2", 2), ("between_x", 1), ("unique_id", 1))
+    ]
+    # The same row has the same id in each run; a group of rows has one of its own.
+    assert rows(kept.groupBy("check", "row_id").count(), "count") == [(2,)] * 4
+    one = kept.filter("table = 't' AND check = 'unique_id' AND run = 'r2'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and len(set(one.inputFiles())) == len(one.inputFiles())
+    assert [r.row for r in one.collect()] == ['{"id":1,"n_records":2}']
+
+
+def test_rules_of_a_table_take_two_scans(spark, df, tmp_path):
+    df.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    parents = spark.createDataFrame([("EUR",), (None,)], "code STRING")
+    others = spark.createDataFrame([(1,), (1,)], "id INT")
+    checks = [
+        not_null("id"),
+        between("x", 0, 3),
+        custom("big", F.col("x") > 3),
+        unique("id"),
+        unique("code"),
+        unique_combination(["code", "d"]),
+        unique_combination(["id", "code"]),
+        relationships("code", parents, "code"),
+        relationships("code", others.select(F.col("id").cast("string")), "id"),
+        relationships("id", others, "id"),
+        no_future("d", date(2026, 1, 2)),
+    ]
+    results = check_results(stored, checks)
+    plan = results._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+    one_by_one = [c.violations(df) for c in checks]
+    expected = [
+        (sum(r[c.weight] for r in v.collect()) if c.weight else v.count())
+        for c, v in zip(checks, one_by_one, strict=True)
+    ]
+    assert [r.n_violations for r in results.collect()] == expected
+    assert expected == [2, 1, 1, 1, 1, 1, 0, 2, 4, 1, 1]
+
+
+def test_a_session_in_another_zone_moves_days(spark):
+    events = spark.sql("SELECT explode(array(TIMESTAMP '2026-01-01 01:00', TIMESTAMP '2026-01-01 12:00')) AS at")
+    check = session_timezone("America/Argentina/Buenos_Aires", at="at")
+    assert rows(check.violations(events), "session_day", "expected_day", "n_records") == [
+        (date(2026, 1, 1), date(2025, 12, 31), 1)
+    ]
+    assert check_results(events, [check]).first().n_violations == 1
+    assert check_results(events, [session_timezone("UTC", at="at")]).first().n_violations == 0
 
 
 @pytest.mark.parametrize(

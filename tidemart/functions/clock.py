@@ -51,12 +51,12 @@ def moment(ts: datetime, data_type: str | DataType = "timestamp") -> Column:
     return F.lit(ts.isoformat(" ")).cast(data_type)
 
 
-def utc_to_local(ts: Column, zone: str) -> Column:
+def utc_to_local(ts: Column, zone: str | Column) -> Column:
     """UTC wall time (``TIMESTAMP_NTZ``) to wall time in ``zone``."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts)
+    return F.convert_timezone(F.lit("UTC"), zone if isinstance(zone, Column) else F.lit(zone), ts)
 
 
-def instant_to_local(ts: Column, zone: str) -> Column:
+def instant_to_local(ts: Column, zone: str | Column) -> Column:
     """Instant (``TIMESTAMP``) to wall time in ``zone``, whatever the session zone is."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return utc_to_local(F.timestamp_add("MICROSECOND", F.unix_micros(ts), epoch), zone)

@@ -1,4 +1,5 @@
 from tidemart.loads.dispositions import (
+    audit_rows,
     evolve,
     load_append,
     load_merge,
@@ -19,6 +20,7 @@ __all__ = [
     "LoadWindow",
     "TableState",
     "Warehouse",
+    "audit_rows",
     "evolve",
     "files_due",
     "filter_window",

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -368,10 +369,50 @@ def materialize(wh: Warehouse, df: DataFrame, layer: str, name: str) -> DataFram
     return df
 
 
-def store_failures(wh: Warehouse, table: str) -> Callable[[str, DataFrame], None]:
-    """A sink for `enforce`: failing rows of a check replace those of its last run."""
+# -- audit -----------------------------------------------------------------------
+
+_VIOLATIONS = "violations"
+_AUDIT = "row_id STRING, `row` STRING, found_at TIMESTAMP, `table` STRING, `check` STRING, run STRING"
+
+
+def _audit_path(wh: Warehouse) -> str:
+    return f"{wh.root}/{AUDIT}/{_VIOLATIONS}"
+
+
+def store_failures(
+    wh: Warehouse, table: str, run: str | None = None, keys: Sequence[str] = ()
+) -> Callable[[str, DataFrame], None]:
+    """A sink for `enforce`: failing rows of every check, added to the audit table.
+
+    The table is partitioned by table, check and ``run``, one call of this function if
+    none is named, so that each run's findings stay. ``row`` is the row as JSON, and
+    ``row_id`` a digest of its ``keys``, or of the whole row where it lacks them: the
+    same row has the same id in every run. A run that died may have left part of its rows.
+    """
+    run = run or new_load_id()
 
     def store(check: str, violations: DataFrame) -> None:
-        write_replace(wh, violations, AUDIT, f"{table}_{check}")
+        every = [F.col(f"`{c}`") for c in violations.columns]
+        known = bool(keys) and set(keys) <= set(violations.columns)
+        named = [F.col(f"`{k}`") for k in keys] if known else every
+        nulls = {"ignoreNullFields": "false"}
+        violations.select(
+            F.sha2(F.to_json(F.struct(*named), nulls), 256).alias("row_id"),
+            F.to_json(F.struct(*every), nulls).alias("row"),
+            F.current_timestamp().alias("found_at"),
+            F.lit(table).alias("table"),
+            F.lit(check).alias("check"),
+            F.lit(run).alias("run"),
+        ).write.mode("append").partitionBy("table", "check", "run").parquet(_audit_path(wh))
 
     return store
+
+
+def audit_rows(wh: Warehouse) -> DataFrame:
+    """All failing rows kept so far; filters on table, check and run open only their folders."""
+    try:
+        return wh.spark.read.schema(_AUDIT).parquet(_audit_path(wh))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return wh.spark.createDataFrame([], _AUDIT)

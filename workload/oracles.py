@@ -487,6 +487,31 @@ ORACLES: dict[str, str] = {
         for t in ("2024-01-31 00:00:00", "2024-02-01 18:00:00", "2024-03-01 00:00:00")
     ),
     "severity_gate": " UNION ALL ".join(_check(*rule) for rule in _RULES),
+    "check_session_timezone": """
+        WITH days AS (
+          SELECT CAST(timezone('Asia/Tokyo', timezone('UTC', ts)) AS DATE) AS s,
+                 CAST(timezone('America/Argentina/Buenos_Aires', timezone('UTC', ts)) AS DATE) AS e
+          FROM events)
+        SELECT 'Asia/Tokyo' AS session_zone, 'America/Argentina/Buenos_Aires' AS expected_zone,
+               strftime(s, '%Y-%m-%d') AS session_day, strftime(e, '%Y-%m-%d') AS expected_day,
+               COUNT(*) AS n_records
+        FROM days WHERE s <> e GROUP BY s, e""",
+    "audit_rows": """
+        WITH runs AS (
+          SELECT 'odd' AS run, * FROM lineitem WHERE l_orderkey % 2 = 1
+          UNION ALL SELECT 'all', * FROM lineitem),
+        found AS (
+          SELECT run, 'between_l_discount' AS "check", l_orderkey, l_linenumber, l_discount,
+                 CAST(NULL AS BIGINT) AS n_records
+          FROM runs WHERE l_discount < 0 OR l_discount > 0.05
+          UNION ALL
+          SELECT run, 'between_l_discount#2', l_orderkey, l_linenumber, l_discount, NULL
+          FROM runs WHERE l_discount < 0.02 OR l_discount > 0.1
+          UNION ALL
+          SELECT run, 'unique_combination_l_orderkey_l_linenumber', l_orderkey, l_linenumber, NULL,
+                 COUNT(*)
+          FROM runs GROUP BY run, l_orderkey, l_linenumber HAVING COUNT(*) > 1)
+        SELECT *, TRUE AS id_is_of_key FROM found""",
     "raw_profile": " UNION ALL ".join(
         [
             _profile("lineitem", "lineitem", "l_orderkey, l_linenumber", "l_shipdate"),

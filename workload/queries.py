@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemart import operators as ops
 from tidemart import work_dir
 from tidemart.functions import calendar_columns, instant_to_local, reciprocal, utc_to_local
+from tidemart.loads import audit_rows as stored_failures
 from tidemart.loads import (
     load_append,
     load_incremental,
@@ -20,6 +21,7 @@ from tidemart.loads import (
     load_snapshot,
     load_summary,
     materialize,
+    store_failures,
     write_replace,
 )
 from tidemart.plans import (
@@ -729,7 +731,7 @@ def _line_checks(spark, sf_dir) -> list[ops.Check]:
         ops.relationships("l_suppkey", suppliers, "s_suppkey"),
         ops.no_future("l_shipdate", date(2000, 1, 1)),
         ops.session_timezone(spark.conf.get("spark.sql.session.timeZone")),
-        ops.custom("heavy_discount", lambda df: df.filter("l_discount * l_extendedprice > 9000")),
+        ops.custom("heavy_discount", F.col("l_discount") * F.col("l_extendedprice") > 9000),
     ]
 
 
@@ -738,6 +740,35 @@ def severity_gate(spark, sf_dir):
     return ops.check_results(table(spark, sf_dir, "lineitem"), _line_checks(spark, sf_dir))
 
 
+@query
+def check_session_timezone(spark, sf_dir):
+    """Days that a session in another zone would count wrongly."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    check = ops.session_timezone(DISPLAY_TIMEZONE, at="ts")
+    return check.violations(table(session, sf_dir, "events"))
+
+
+@query
+def audit_rows(spark, sf_dir):
+    """Failing rows of two runs, read back from the audit table."""
+    wh = new_warehouse(spark)
+    lines = table(spark, sf_dir, "lineitem")
+    checks = [
+        ops.between("l_discount", 0, 0.05),
+        ops.between("l_discount", 0.02, 0.1),  # of the same name
+        ops.unique_combination(["l_orderkey", "l_linenumber"]),
+    ]
+    for run, part in (("odd", "l_orderkey % 2 = 1"), ("all", "TRUE")):
+        store = store_failures(wh, "lineitem", run, ["l_orderkey", "l_linenumber"])
+        ops.enforce(lines.filter(part), checks, store)
+    fields = F.from_json("row", "l_orderkey BIGINT, l_linenumber INT, l_discount DOUBLE, n_records BIGINT")
+    found = stored_failures(wh).withColumn("fields", fields)
+    key = F.struct(F.col("fields.l_orderkey").alias("l_orderkey"), F.col("fields.l_linenumber").alias("l_linenumber"))
+    same = F.col("row_id") == F.sha2(F.to_json(key), 256)
+    return found.select("run", "check", "fields.*", same.alias("id_is_of_key"))
+
+
 @query
 def raw_profile(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").withColumn("day", F.col("l_shipdate").cast("date"))
