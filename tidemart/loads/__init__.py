@@ -7,6 +7,8 @@ from tidemart.loads.dispositions import (
     load_snapshot,
     load_summary,
     materialize,
+    month_of,
+    replace_months,
     store_failures,
     write_replace,
 )
@@ -34,11 +36,13 @@ __all__ = [
     "load_summary",
     "landing_manifest",
     "materialize",
+    "month_of",
     "next_start",
     "paths_due",
     "plan_load",
     "record_files",
     "reject_reason",
+    "replace_months",
     "store_failures",
     "take_in",
     "write_replace",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -166,12 +166,62 @@ def load_append(
     )
 
 
+def month_of(column: str) -> Column:
+    """Partition number of a date: 202601."""
+    return (F.year(column) * 100 + F.month(column)).cast("int")
+
+
+def replace_months(
+    wh: Warehouse,
+    df: DataFrame,
+    layer: str,
+    table: str,
+    by: str,
+    months: Iterable[int] | None = None,
+    batch: str | None = None,
+    month: Column | None = None,
+) -> DataFrame:
+    """Writes the given months of a table anew, all if none are given; others stay.
+
+    ``df`` has the rows of those months and no others; a month without rows goes. The
+    month is that of the date ``by``, or ``month``, a number such as 202601. Returns the rows written. The columns of a table whose months are kept must be the
+    same as before.
+    """
+    previous = wh.state(layer, table)
+    load_id = new_load_id()
+    folder = f"{wh.folder(layer, table, load_id)}/{month_layout(by)}"
+    _write_parts(df.withColumn(PART, month_of(by) if month is None else month), folder)
+    stored = wh.spark.read.schema(_with_part(df.schema)).parquet(folder)
+    counts = {str(r[0]): r[1] for r in stored.groupBy(PART).count().collect()}  # one row a month
+    folders = {}
+    if months is not None:
+        if previous is not None and previous.schema != df.schema:
+            raise ValueError(f"{layer}.{table}: other columns than those of the months kept")
+        gone = {str(m) for m in months}
+        if not set(counts) <= gone:
+            raise ValueError(f"{layer}.{table}: rows outside the months to replace")
+        folders = {p: f for p, f in (previous.folders if previous else {}).items() if p not in gone}
+    written = {p: f"{folder}/{PART}={p}" for p in counts}
+    wh.commit(
+        layer,
+        table,
+        "replace" if months is None else "months",
+        df.schema,
+        folders | written,
+        load_id,
+        sum(counts.values()),
+        previous=previous,
+        batch=batch,
+    )
+    return wh.read_folders(df.schema, sorted(written.values()))
+
+
 # -- merge by key --------------------------------------------------------------
 
 
 def _part(spec: TableSpec) -> Column:
     if spec.by_month:
-        return F.coalesce(F.year(spec.cursor) * 100 + F.month(spec.cursor), F.lit(0))
+        return F.coalesce(month_of(spec.cursor), F.lit(0))
     return F.pmod(F.xxhash64(*spec.keys), F.lit(spec.buckets)).cast("int")
 
 

@@ -47,6 +47,7 @@ class TableState:
     schema: StructType
     folders: dict[str, str] = field(default_factory=dict)
     cursor: str | None = None
+    batch: str | None = None
 
 
 class Warehouse:
@@ -71,8 +72,11 @@ class Warehouse:
                 raise
             return self.spark.createDataFrame([], _LOG)
 
-    def state(self, layer: str, table: str) -> TableState | None:
-        last = self.log(layer, table).orderBy(F.desc("seq")).first()
+    def state(self, layer: str, table: str, seq: int | None = None) -> TableState | None:
+        """The table after its last load, or after load ``seq``."""
+        loads = self.log(layer, table)
+        loads = loads if seq is None else loads.filter(F.col("seq") == seq)
+        last = loads.orderBy(F.desc("seq")).first()
         if last is None:
             return None
         return TableState(
@@ -80,6 +84,7 @@ class Warehouse:
             schema=StructType.fromJson(json.loads(last["schema"])),
             folders=last["folders"] or {},
             cursor=last["cursor"],
+            batch=last["batch"],
         )
 
     def commit(

@@ -1,4 +1,4 @@
-from tidemart.operators.activity import entity_activity
+from tidemart.operators.activity import activity_by_period, entity_activity
 from tidemart.operators.checks import (
     Check,
     between,
@@ -17,15 +17,17 @@ from tidemart.operators.gate import CheckFailed, check_results, enforce, overall
 from tidemart.operators.history import asof_lookup, valid_at
 from tidemart.operators.profile import freshness, raw_profile
 from tidemart.operators.scd2 import apply_snapshot, step_snapshot
-from tidemart.operators.series import period_summary, with_previous
+from tidemart.operators.series import bucket_ends, period_summary, with_previous
 from tidemart.operators.windows import find_gaps, plan_windows
 
 __all__ = [
     "Check",
     "CheckFailed",
+    "activity_by_period",
     "apply_snapshot",
     "asof_lookup",
     "between",
+    "bucket_ends",
     "check_results",
     "custom",
     "enforce",

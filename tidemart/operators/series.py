@@ -19,6 +19,7 @@ def with_previous(
     at: str,
     previous: dict[str, str],
     period: str | None = None,
+    ends: DataFrame | None = None,
 ) -> DataFrame:
     """Adds columns of the row before this one in its series.
 
@@ -28,15 +29,14 @@ def with_previous(
 
     Work is split by key and time bucket (see `buckets`): the rows are shuffled
     once, whatever the share of the largest key.
+
+    ``ends`` are the `bucket_ends` of all buckets, stored earlier; then ``df`` may hold
+    the rows of some buckets only, each of them whole.
     """
     values = [c for c in previous if c != at]
     bucketed = df.withColumn(BUCKET, time_bucket(df, at, period))
-
-    # Last row of each bucket, handed on to the key's next bucket.
-    ends = bucketed.groupBy(*keys, BUCKET).agg(
-        F.max(at).alias(at),
-        *(F.max_by(c, at).alias(c) for c in values),
-    )
+    if ends is None:
+        ends = bucket_ends(df, keys, at, values, period)
     by_key = Window.partitionBy(*keys).orderBy(BUCKET)
     carried = ends.select(
         *keys,
@@ -51,6 +51,16 @@ def with_previous(
     return rows.withColumns(lagged).filter(~F.col(_CARRY)).drop(_CARRY, BUCKET)
 
 
+def bucket_ends(
+    df: DataFrame, keys: Sequence[str], at: str, values: Sequence[str], period: str | None = None
+) -> DataFrame:
+    """The last row of each key and time bucket, which the key's next bucket begins with."""
+    bucketed = df.withColumn(BUCKET, time_bucket(df, at, period))
+    return bucketed.groupBy(*keys, BUCKET).agg(
+        F.max(at).alias(at), *(F.max_by(c, at).alias(c) for c in values)
+    )
+
+
 def period_summary(
     df: DataFrame,
     keys: Sequence[str | Column],

@@ -21,9 +21,16 @@ from tidemart.functions import (
     surrogate_key,
     timestamp_key,
 )
-from tidemart.operators import entity_activity, period_summary, with_previous
+from tidemart.operators import (
+    activity_by_period,
+    bucket_ends,
+    entity_activity,
+    period_summary,
+    with_previous,
+)
+from tidemart.operators.buckets import BUCKET
 from tidemart.operators.scd2 import VALID_FROM, VALID_TO
-from tidemart.session import DISPLAY_TIMEZONE
+from tidemart.session import DISPLAY_TIMEZONE, session_date
 from tidemart.sources import calendar, default_calendar_end
 from tidemart.specs import CALENDAR_START
 
@@ -31,14 +38,25 @@ PAIR = ("moneda_base", "moneda_cotizada")
 UNCLASSIFIED = "Sin clasificar"  # region of an entity the seed does not list (fixed value)
 
 
-def daily_quotes(quotes: DataFrame) -> DataFrame:
-    """Quotes with the measures that need the pair's previous published day."""
+def month_closes(quotes: DataFrame) -> DataFrame:
+    """Last quote of each pair and month, which the pair's next month begins with."""
+    ends = bucket_ends(quotes, PAIR, "fecha", ["cotizacion"], "month")
+    return ends.withColumnRenamed(BUCKET, "mes")
+
+
+def daily_quotes(quotes: DataFrame, closes: DataFrame | None = None) -> DataFrame:
+    """Quotes with the measures that need the pair's previous published day.
+
+    With the `month_closes` of the whole history, ``quotes`` may be those of some months.
+    """
     value, previous = F.col("cotizacion"), F.col("cotizacion_anterior")
     return with_previous(
         quotes,
         PAIR,
         "fecha",
         {"cotizacion": "cotizacion_anterior", "fecha": "fecha_anterior"},
+        period=None if closes is None else "month",
+        ends=None if closes is None else closes.withColumnRenamed("mes", BUCKET),
     ).select(
         "fecha",
         *PAIR,
@@ -53,8 +71,20 @@ def daily_quotes(quotes: DataFrame) -> DataFrame:
     )
 
 
-def currency_activity(quotes: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Every currency of the history, with its span of activity."""
+def monthly_activity(quotes: DataFrame) -> DataFrame:
+    """Activity per currency and month, as `currency_activity` adds it up."""
+    return activity_by_period(
+        quotes, "moneda_cotizada", "moneda_base", "fecha", "codigo_moneda", "month"
+    ).withColumnRenamed("period", "mes")
+
+
+def currency_activity(
+    quotes: DataFrame | None, catalog: DataFrame, months: DataFrame | None = None
+) -> DataFrame:
+    """Every currency of the history, with its span of activity.
+
+    ``months``, the `monthly_activity` of the whole history, stands for the quotes.
+    """
     return entity_activity(
         quotes,
         catalog,
@@ -70,6 +100,7 @@ def currency_activity(quotes: DataFrame, catalog: DataFrame) -> DataFrame:
             "is_listed": "es_vigente",
             "is_base": "es_moneda_base",
         },
+        periods=months,
     )
 
 
@@ -80,7 +111,7 @@ def dim_date(
     language: str = "en",
 ) -> DataFrame:
     """One row per day, days without facts included; ``end`` is not covered."""
-    days = calendar(spark, start, end or default_calendar_end(date.today()))
+    days = calendar(spark, start, end or default_calendar_end(session_date(spark)))
     return days.select(*calendar_columns(F.col("fecha"), language))
 
 

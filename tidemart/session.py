@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import date
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Zone in which the reference presents its marts (fixed value).
 DISPLAY_TIMEZONE = "America/Argentina/Buenos_Aires"
@@ -41,6 +43,11 @@ def build_session(
     return builder.getOrCreate()
 
 
+def session_date(spark: SparkSession) -> date:
+    """Today, in the session's time zone, wherever the driver runs."""
+    return spark.range(1).select(F.current_date()).first()[0]
+
+
 def work_dir(spark: SparkSession) -> str:
     """A fresh folder every executor can reach.
 

@@ -101,6 +101,12 @@ grouped AS (
 SELECT *, ROUND(100 * (cotizacion_cierre - cotizacion_apertura) / cotizacion_apertura, 6)
           AS variacion_mensual_pct
 FROM grouped"""
+# The fact over all days, with the quotes of the last days of each February raised.
+_RAISED_FACT = _FACT.replace(
+    "MAX(rate) AS rate FROM line_quotes",
+    """MAX(rate) + CASE WHEN month(date) = 2 AND date = last_day(date) THEN 1000 ELSE 0 END
+    AS rate FROM line_quotes""",
+).replace("WHERE d.fecha >= DATE '1995-01-01' AND d.fecha < DATE '2002-01-01'", "")
 _STAMP = "'2026-01-07 12:00:00'"
 
 _CALENDAR = """
@@ -282,6 +288,7 @@ ORACLES: dict[str, str] = {
                {_STAMP} AS cargado_en, 'tpch' AS origen_dato
         FROM fact""",
     "monthly_quote_report": f"""WITH {_FACT}, {_MONTHLY}""",
+    "incremental_mart_refresh": f"WITH {_RAISED_FACT}, {_MONTHLY}",
     "landed_files_to_report": f"""WITH {_LINE_QUOTES},
         rates AS (
           SELECT date, 'EUR' AS base, currency, MAX(rate) AS rate FROM line_quotes

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -505,6 +505,29 @@ def landed_files_to_report(spark, sf_dir):
     return marts["rpt_cotizacion_mensual"]
 
 
+@query
+def incremental_mart_refresh(spark, sf_dir):
+    """Marts of most quotes, then corrections and what was missing; changed months only."""
+    wh, spec = new_warehouse(spark), rates_spec(SOURCE)
+    rates = inputs.raw_rates(spark, sf_dir)
+    last = F.last_day("date") == F.col("date")
+    missing = F.year("date") * 12 + F.month("date") == 1997 * 12 + 5
+    named = inputs.raw_catalog(spark, sf_dir).filter("trim(name) <> ''")
+    load_replace(wh, named, catalog_spec(SOURCE))
+    bounds = rates.agg(F.min("date"), F.max("date")).first()
+    options = dict(
+        today=bounds[1],
+        calendar_start=bounds[0],
+        calendar_end=bounds[1] + timedelta(days=1),
+        seed=inputs.region_seed(spark, sf_dir),
+    )
+    load_merge(wh, rates.filter(~missing), spec)
+    build_marts(wh, SOURCE, LOADED, **options)
+    raised = rates.withColumn("rate", (F.col("rate") + 1000).cast("decimal(20,8)"))
+    load_merge(wh, raised.filter(last & (F.month("date") == 2)).unionByName(rates.filter(missing)), spec)
+    return build_marts(wh, SOURCE, LOADED, changed_only=True, **options)["rpt_cotizacion_mensual"]
+
+
 # -- windows and gaps -----------------------------------------------------------
 
 
