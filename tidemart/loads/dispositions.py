@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     AtomicType,
@@ -346,6 +349,36 @@ def _cursor(base: TableState | None, newest: str | None) -> str | None:
 # -- history snapshot ----------------------------------------------------------
 
 
+@contextmanager
+def open_versions(
+    wh: Warehouse, spec: TableSpec, schema: StructType, folder: str | None
+) -> Iterator[DataFrame]:
+    """Open versions of a history, in their buckets.
+
+    Only a catalog table tells Spark of buckets: one is declared over the folder for as
+    long as it is read.
+    """
+    if folder is None or f"/{_bucketed(spec)}/" not in folder:
+        yield wh.read_folders(schema, [folder] if folder else [])
+        return
+    name = f"open_versions_{new_load_id()}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    keys = ", ".join(f"`{k}`" for k in spec.keys)
+    path = folder.replace("'", "\\'")
+    wh.spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) "
+        f"INTO {spec.buckets} BUCKETS LOCATION '{path}'"
+    )
+    try:
+        yield wh.spark.table(name)
+    finally:
+        wh.spark.sql(f"DROP TABLE {name}")  # the folder stays
+
+
+def _bucketed(spec: TableSpec) -> str:
+    return f"buckets-{spec.buckets}-{'-'.join(spec.keys)}"
+
+
 def load_snapshot(
     wh: Warehouse,
     batch: DataFrame,
@@ -358,25 +391,34 @@ def load_snapshot(
 
     Open and closed versions lie in separate folders. A load reads and rewrites
     the open ones and adds a folder with those it closed, so its cost follows
-    the size of the catalog, not the length of the history.
+    the size of the catalog, not the length of the history. Open versions lie in
+    buckets by key: a load shuffles the picture, but not them. Rows without a key are
+    left out and counted as dropped.
     """
     previous = wh.state(spec.layer, spec.name)
     fields = batch.select(*spec.keys, *check_cols).schema.fields
     times = StructType.fromDDL(f"{VALID_FROM} TIMESTAMP, {VALID_TO} TIMESTAMP").fields
     schema = StructType([*fields, *times])
     folders = dict(previous.folders) if previous else {}
-    was_open = [folders.pop(OPEN)] if OPEN in folders else []
-    versions = step_snapshot(
-        wh.read_folders(schema, was_open), batch, spec.keys, check_cols, at, hard_deletes
-    )
+    was_open = folders.pop(OPEN, None)
 
+    has_key = reduce(and_, (F.col(f"`{k}`").isNotNull() for k in spec.keys))
     load_id = new_load_id()
-    folder = wh.folder(spec.layer, spec.name, load_id)
+    counts = Observation(f"snapshot-{load_id}")
+    seen = batch.observe(counts, F.count_if(~has_key).alias("n_dropped")).filter(has_key)
+    folder = f"{wh.folder(spec.layer, spec.name, load_id)}/{_bucketed(spec)}"
     side = F.when(F.col(VALID_TO).isNull(), OPEN).otherwise(CLOSED)
-    versions.withColumn(SIDE, side).write.partitionBy(SIDE).parquet(folder)
+    written = f"versions_{load_id}"
+    with open_versions(wh, spec, schema, was_open) as old:
+        versions = step_snapshot(old, seen, spec.keys, check_cols, at, hard_deletes, spec.buckets)
+        bucketed = versions.withColumn(SIDE, side).write.partitionBy(SIDE)
+        bucketed.bucketBy(spec.buckets, *spec.keys).option("path", folder).saveAsTable(written)
+    wh.spark.sql(f"DROP TABLE {written}")  # the folder stays
     sided = StructType([*schema.fields, StructField(SIDE, StringType())])
-    written = wh.spark.read.schema(sided).parquet(folder).groupBy(SIDE).count()
-    n_rows = {r[0]: r[1] for r in written.collect()}
+    n_rows = {
+        r[0]: r[1]
+        for r in wh.spark.read.schema(sided).parquet(folder).groupBy(SIDE).count().collect()
+    }
     if OPEN in n_rows:
         folders[OPEN] = f"{folder}/{SIDE}={OPEN}"
     if CLOSED in n_rows:
@@ -389,6 +431,7 @@ def load_snapshot(
         folders,
         load_id,
         sum(n_rows.values()),
+        n_dropped=counts.get["n_dropped"],
         previous=previous,
     )
 

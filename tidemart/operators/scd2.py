@@ -22,19 +22,34 @@ def step_snapshot(
     check_cols: Sequence[str],
     at: datetime | Column,
     hard_deletes: bool = True,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Open versions after the batch, along with those the batch closes.
 
     Closed history does not take part. A key that the batch repeats counts once,
     by `latest_by_key`; so keys are unique on both sides, and one full join yields
     one row per key. A changed key turns into two versions.
+
+    ``buckets``: the open versions are stored in so many buckets by their keys, none of
+    which is null in any row. Then only the batch is shuffled.
     """
     now = at if isinstance(at, Column) else moment(at)
-    old = open_versions.select(F.struct(*keys, *check_cols, VALID_FROM).alias("old"))
+    old = open_versions.select(
+        *(F.col(k).alias(f"__old_{k}") for k in keys),
+        F.struct(*keys, *check_cols, VALID_FROM).alias("old"),
+    )
     batch = latest_by_key(batch.select(*keys, *check_cols), keys)
-    new = batch.select(F.struct(*keys, *check_cols).alias("new"))
-    same_key = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys]
-    joined = old.join(new, same_key, "full_outer")
+    if buckets is not None:
+        batch = batch.repartition(buckets, *keys)
+    new = batch.select(
+        *(F.col(k).alias(f"__new_{k}") for k in keys), F.struct(*keys, *check_cols).alias("new")
+    )
+
+    def same(k: str) -> Column:
+        a, b = F.col(f"__old_{k}"), F.col(f"__new_{k}")
+        return a.eqNullSafe(b) if buckets is None else a == b
+
+    joined = old.join(new, [same(k) for k in keys], "full_outer")
 
     has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
     changed = F.lit(False)
