@@ -29,7 +29,8 @@ PERCENT = 80
 BITS = 2048
 # Bits of a wide bitmap for each shingle of its set, at least.
 WIDE = 4
-# Bytes of a hash kept in a stored set.
+# Bytes of a hash by which sets are brought together; the others lie in a column of
+# their own, read only for exact intersections.
 KEPT = 5
 # Counters of the frequency sketch.
 COUNTERS = 1 << 18
@@ -47,9 +48,15 @@ def _pack(hashes: np.ndarray) -> bytes:
     return hashes.view(np.uint8).reshape(-1, 8)[:, :KEPT].tobytes()
 
 
-def _unpack(raw: bytes) -> np.ndarray:
+def _pack_rest(hashes: np.ndarray) -> bytes:
+    return hashes.view(np.uint8).reshape(-1, 8)[:, KEPT:].tobytes()
+
+
+def _unpack(raw: bytes, rest: bytes | None = None) -> np.ndarray:
     out = np.zeros((len(raw) // KEPT, 8), np.uint8)
     out[:, :KEPT] = np.frombuffer(raw, np.uint8).reshape(-1, KEPT)
+    if rest is not None:
+        out[:, KEPT:] = np.frombuffer(rest, np.uint8).reshape(-1, 8 - KEPT)
     return out.view(np.uint64).ravel()
 
 
@@ -73,29 +80,32 @@ def _folded(bitmap: bytes, size: int) -> np.ndarray:
 def shingle_sets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE
 ) -> DataFrame:
-    """(id, n_shingles, digest, set) of every row; null texts count as empty."""
+    """(id, n_shingles, digest, set, rest) of every row; null texts count as empty.
+
+    ``set`` has the low KEPT bytes of each 64-bit hash, in their order, ``rest`` the others.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def work():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
-            # 40 bits of each hash, sorted; the size is of whole hashes.
             sets = Words(texts).shingles(n)
-            low = [np.sort(s & np.uint64((1 << 8 * KEPT) - 1)) for s in sets]
+            by_low = [s[np.argsort(s & np.uint64((1 << 8 * KEPT) - 1), kind="stable")] for s in sets]
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(digests, pa.binary()),
-                    pa.array([_pack(s) for s in low], pa.binary()),
+                    pa.array([_pack(s) for s in by_low], pa.binary()),
+                    pa.array([_pack_rest(s) for s in by_low], pa.binary()),
                 ],
-                ["id", "n_shingles", "digest", "set"],
+                ["id", "n_shingles", "digest", "set", "rest"],
             )
 
         return step
 
-    schema = f"id {kind}, n_shingles bigint, digest binary, set binary"
+    schema = f"id {kind}, n_shingles bigint, digest binary, set binary, rest binary"
     return map_batches(docs.select(F.col(id_col), F.col(text_col)), work, schema)
 
 
@@ -129,8 +139,10 @@ def _counted(hashes: np.ndarray, hits: np.ndarray) -> np.ndarray:
 def _shared(sets: DataFrame, hits: np.ndarray) -> DataFrame:
     """(digest, shared): a set's counted hashes that other sets have too.
 
-    Each is a number, frequency first, then the hash. Hashes are dealt by value, those
-    of a batch of sets together; no counted hash holds more than a few of COUNTERS of all.
+    Each is a number, frequency first, then the hash, in this order. Hashes are dealt by
+    value, those of a batch of sets together; no counted hash holds more than a few of
+    COUNTERS of all. Answers come back in blocks of sets, so that their number follows
+    the ranges, not the sets in each.
     """
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     ranges = 1 + total // RANGE_HASHES
@@ -189,7 +201,37 @@ def _shared(sets: DataFrame, hits: np.ndarray) -> DataFrame:
         most = (1 << 63 - 8 * KEPT) - 1
         value = np.minimum(times[some], most).astype(np.uint64) << np.uint64(8 * KEPT)
         value, doc = (value | hashes[some]).astype(np.int64), doc[some]
-        order = np.argsort(doc, kind="stable")
+        # Answers go back to blocks of sets, those of a block together.
+        raw = np.frombuffer(b"".join(names.dictionary.to_pylist()), np.uint8).reshape(-1, 16)
+        block = raw[:, :8].copy().view(np.uint64).ravel() % np.uint64(ranges)
+        order = np.lexsort((doc, block[doc]))
+        value, doc = value[order], doc[order]
+        at = np.flatnonzero(np.diff(doc, prepend=-1))
+        sizes = np.diff(np.append(at, len(doc))).astype(np.uint32)
+        own = block[doc[at]]
+        cuts = np.flatnonzero(np.diff(own, prepend=np.uint64(ranges)))
+        out = []
+        for i, j in zip(cuts, np.append(cuts[1:], len(own)), strict=True):
+            last = at[j] if j < len(at) else len(value)
+            out.append(
+                (int(own[i]), raw[doc[at[i:j]]].tobytes(), sizes[i:j].tobytes(), value[at[i] : last].tobytes())
+            )
+        columns = list(zip(*out, strict=True)) or [[], [], [], []]
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        return pa.table(
+            {n: pa.array(c, k) for n, c, k in zip(("block", "digests", "sizes", "values"), columns, kinds, strict=True)}
+        )
+
+    def gather(table: pa.Table) -> pa.Table:
+        """All answers for the sets of a block: each set's values, sorted."""
+        columns = [table[c].to_pylist() for c in ("digests", "sizes", "values")]
+        raw = pa.py_buffer(b"".join(columns[0]))
+        names = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), raw.size // 16, [None, raw])
+        names = names.dictionary_encode()
+        sizes = np.frombuffer(b"".join(columns[1]), np.uint32)
+        value = np.frombuffer(b"".join(columns[2]), np.int64)
+        doc = np.repeat(names.indices.to_numpy(), sizes)
+        order = np.lexsort((value, doc))
         value, doc = value[order], doc[order]
         at = np.flatnonzero(np.diff(doc, prepend=-1))
         listed = pa.ListArray.from_arrays(
@@ -198,8 +240,9 @@ def _shared(sets: DataFrame, hits: np.ndarray) -> DataFrame:
         names = names.dictionary.take(pa.array(doc[at])).cast(pa.binary())
         return pa.table({"digest": names, "shared": listed})
 
-    found = dealt.groupBy("range").applyInArrow(count, "digest binary, shared array<bigint>")
-    return found.groupBy("digest").agg(F.flatten(F.collect_list("shared")).alias("shared"))
+    answers = "block bigint, digests binary, sizes binary, values binary"
+    found = dealt.groupBy("range").applyInArrow(count, answers)
+    return found.groupBy("block").applyInArrow(gather, "digest binary, shared array<bigint>")
 
 
 def _keys(sets: DataFrame, firsts: DataFrame, hits: np.ndarray, percent: int) -> DataFrame:
@@ -240,7 +283,7 @@ def _keys(sets: DataFrame, firsts: DataFrame, hits: np.ndarray, percent: int) ->
         work,
         f"id {kind}, n bigint, digest binary, bitmap binary, counted bigint, others array<bigint>",
     )
-    shared = F.array_sort(F.array_distinct(F.coalesce("shared", F.array().cast("array<bigint>"))))
+    shared = F.coalesce("shared", F.array().cast("array<bigint>"))
     some = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     # Of the counted hashes, those that only this set has come first.
     left = F.greatest(some - (F.col("counted") - F.size("shared")), F.lit(0)).cast("int")
@@ -336,13 +379,13 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b), a stored table, that reach the threshold by exact intersection."""
     pairs = staged(_wide_bounded(pairs, _asked(pairs, sets), percent), "wide_pairs")
     kind = pairs.schema["a"].dataType.simpleString()
-    both = _both_sides(pairs, _asked(pairs, sets), ["set"])
+    both = _both_sides(pairs, _asked(pairs, sets), ["set", "rest"])
 
     def work():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             keep = []
-            for x, y in zip(*(batch.column(k).to_pylist() for k in (2, 3)), strict=True):
-                x, y = _unpack(x), _unpack(y)
+            for x, y, p, q in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
+                x, y = _unpack(x, p), _unpack(y, q)
                 same = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * same >= percent * (len(x) + len(y) - same))
             return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -360,6 +403,8 @@ def _tile_pairs(members: DataFrame, listed: DataFrame, percent: int) -> DataFram
     """
     kind = members.schema["id"].dataType.simpleString()
     rows = members.withColumn("cuts", F.ceil(F.col("rows") / BLOCK).cast("int"))
+    # A row goes to as many blocks as its tile has cuts.
+    total = rows.agg(F.sum(F.col("cuts").cast("bigint"))).first()[0] or 0
     own = F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int")
     rows = rows.withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))
@@ -368,7 +413,7 @@ def _tile_pairs(members: DataFrame, listed: DataFrame, percent: int) -> DataFram
     rows = rows.select("key", low, high, "id", "component", "own")
     rows = rows.join(listed.select("id", "n", "bitmap"), "id")
     # Most tiles are tiny, so a task's call takes many of them.
-    buckets = max(1, members.count() // BUCKET_ROWS)
+    buckets = 1 + total // BUCKET_ROWS
     bucket = F.pmod(F.xxhash64("key", "low", "high"), F.lit(buckets)).alias("bucket")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -457,12 +502,20 @@ def similar_components(
     open_keys = staged(ends.where("low < high").select("key", "rows"), "open_keys")
     members = staged(join_counted(own, open_keys, "key", "rows"), "members")
     more = _links(staged(_tile_pairs(members, listed, percent), "tile_pairs"), shown, percent)
-    links = links.unionByName(more)
-    joined = staged(components(links, "a", "b"), "joined_all")
-
+    more = staged(more, "tile_links")
     named = groups.join(joined, groups["first"] == joined["id"], "left").select(
         "digest", F.coalesce("component_id", "first").alias("component_id"), "rows"
     )
+    if not more.isEmpty():
+        # The links found last connect components, not sets: only these are followed.
+        for end in ("a", "b"):
+            name = joined.select(F.col("id").alias(end), F.col("component_id").alias("to"))
+            more = more.join(name, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+        wider = components(more, "a", "b").select(
+            F.col("id").alias("component_id"), F.col("component_id").alias("to")
+        )
+        named = named.join(staged(wider, "joined_wider"), "component_id", "left")
+        named = named.withColumn("component_id", F.coalesce("to", "component_id")).drop("to")
     named = staged(named, "named")
     kept = shown.select("id", "n_shingles", "digest")
     out = join_counted(kept, named, "digest", "rows").select("id", "n_shingles", "component_id")
