@@ -22,6 +22,14 @@ def staged(df: DataFrame, name: str, options: dict[str, object] | None = None) -
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer if need be, for a column that ``df`` doesn't have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def join_counted(
     rows: DataFrame, per_key: DataFrame, key: str, count: str, share: int = 1000
 ) -> DataFrame:

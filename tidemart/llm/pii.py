@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.llm._common import free_name
+
 ROUNDS = 8
 FOUND = "array<struct<kind:string,text:string>>"
 DAYS = 146_097  # of 400 Gregorian years; 27 * 5411
@@ -350,7 +352,7 @@ def pseudonymise(
     is replaced. Numbers that fail their check digits, octets over 255 and days
     that do not exist stay as they are. Null texts stay null with an empty list;
     empty texts stay empty. Rows are mapped one by one: repeats, ties and empty
-    tables need no care, other columns pass through. ``key`` is the secret.
+    tables need no care, other columns pass through whatever their names. ``key`` is the secret.
     """
     text = F.col(text_col)
     pieces = F.split(text, ANY, -1)
@@ -361,8 +363,9 @@ def pseudonymise(
         text.rlike(HINT),
         F.struct(pieces.alias("pieces"), matches.alias("old"), news.alias("new")),
     )
-    made = docs.withColumn("__hit", hit)
-    h = F.col("__hit")
+    own = free_name(docs, "hit")
+    made = docs.withColumn(own, hit)
+    h = F.col(own)
     joined = F.array_join(
         F.transform(
             h["pieces"],
@@ -376,6 +379,6 @@ def pseudonymise(
     return (
         made.withColumn(found_col, F.coalesce(found, F.array().cast(FOUND)))
         .withColumn(text_col, F.when(F.size(found) > 0, joined).otherwise(text))
-        .drop("__hit")
+        .drop(own)
     )
 

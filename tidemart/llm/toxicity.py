@@ -207,17 +207,20 @@ def train(
     """A model of the labelled texts that are not held out.
 
     Fitted on at most ``rows_per_class`` texts of each class, taken by a hash of
-    their ids; null labels and ids do not count. Texts are read whole; of rows that
-    repeat an id the one with the smallest text is.
+    their ids; null labels and ids do not count, and an id labelled both ways counts
+    as 0. Texts are read whole; of rows that repeat an id the one with the smallest
+    text is.
     """
     usable = labels.where(
         F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))
     ).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
+    # One label per id before the limit, so that repeats use up none of it.
+    usable = usable.groupBy("id").agg(F.min("toxic").alias("toxic"))
     of_class = [
         usable.where(F.col("toxic") == c).orderBy(F.xxhash64("id"), "id").limit(rows_per_class)
         for c in (0, 1)
     ]
-    chosen = of_class[0].unionByName(of_class[1]).dropDuplicates(["id"])
+    chosen = of_class[0].unionByName(of_class[1])
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # At most 2 * rows_per_class rows are broadcast and fetched.
     rows = texts.join(F.broadcast(chosen), "id").groupBy("id")
@@ -239,8 +242,10 @@ def score_toxicity(
     window without evidence. Rows are mapped one by one; an empty table stays empty.
     """
     docs = docs.drop(score_col)
-    schema = StructType([*docs.schema.fields, StructField(score_col, DoubleType())])
     place = docs.columns.index(text_col)
+    # By number, as a name with a dot can't be handed to a Python function.
+    plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+    schema = StructType([*plain.schema.fields, StructField("score", DoubleType())])
 
     def work():
         score = model.scorer()
@@ -248,9 +253,9 @@ def score_toxicity(
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             scores = [score(t) for t in batch.column(place).to_pylist()]
             return pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, score_col]
+                [*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"]
             )
 
         return step
 
-    return map_batches(docs, work, schema)
+    return map_batches(plain, work, schema).toDF(*docs.columns, score_col)
