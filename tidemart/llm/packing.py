@@ -15,14 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm._arrow import map_batches
-from tidemart.llm._common import staged
+from tidemart.llm._common import free_name, staged
 
 SEQUENCE = 4096
 END = 1
 # Pieces packed together by one task; the rows of a task are these at most, nearly.
 SHARD_PIECES = 100_000
-# Fillings the search may try in a shard before it settles for the best packing so far.
-SEARCH_STEPS = 3_000
+# Looks at the sizes left (a few microseconds each) that the search may take in a shard,
+# and then in each batch of wasteful bins.
+SEARCH_STEPS = 400_000
+BATCHES, BATCH_BINS, BATCH_STEPS = 40, 60, 20_000
 # Words whose ids a task remembers.
 KNOWN_WORDS = 600_000
 
@@ -206,138 +208,225 @@ def fewest(sizes: np.ndarray, room: int) -> int:
     return least
 
 
-def _fillings(left: np.ndarray, room: int, slack: int, most: int) -> list[tuple[int, ...]]:
-    """Sets of the sizes ``left`` (counts) that fill ``room`` but for ``slack`` or less.
-
-    Undominated ones only, fullest first: none in which a size could give way to a
-    larger one left out, or two to one that is their sum. ``most`` bounds the list.
-    """
-    sizes = np.flatnonzero(left[: room + 1])[::-1].tolist()
-    if not sizes:
-        return [()] if room <= slack else []
-    found: list[tuple[int, ...]] = []
-    tried = 0
-    stack = [((), 0, room)]
-    while stack and len(found) < most and tried < 50 * most:
-        chosen, at, rest = stack.pop()
-        tried += 1
-        nexts = []
-        for k in range(at, len(sizes)):
-            size = sizes[k]
-            if size <= rest and chosen.count(size) < left[size]:
-                nexts.append((chosen + (size,), k, rest - size))
-                if len(nexts) == 4:
-                    break
-        if rest <= slack and (rest == 0 or not nexts):
-            found.append(chosen)
-        stack.extend(reversed(nexts))
-
-    def dominated(chosen: tuple[int, ...]) -> bool:
-        rest = room - sum(chosen)
-        for x in set(chosen):
-            larger = left[x + 1 : x + rest + 1]
-            spare = [s for s in np.flatnonzero(larger) + x + 1 if chosen.count(int(s)) < left[s]]
-            if spare:
-                return True
+class _Sizes:
+    """The sizes left, and how many of each; bit s of ``there`` tells whether any is."""
+
+    def __init__(self, sizes: np.ndarray, room: int, steps: int) -> None:
+        self.room, self.steps = room, steps
+        self.count = np.bincount(sizes, minlength=room + 1).tolist()
+        self.there = sum(1 << s for s, n in enumerate(self.count) if n)
+        self.mirror = sum(1 << (room - s) for s, n in enumerate(self.count) if n)
+
+    def take(self, chosen: tuple[int, ...]) -> None:
+        for s in chosen:
+            self.count[s] -= 1
+            if not self.count[s]:
+                self.there ^= 1 << s
+                self.mirror ^= 1 << (self.room - s)
+
+    def put(self, chosen: tuple[int, ...]) -> None:
+        for s in chosen:
+            if not self.count[s]:
+                self.there ^= 1 << s
+                self.mirror ^= 1 << (self.room - s)
+            self.count[s] += 1
+
+    def free(self, size: int, chosen: tuple[int, ...]) -> bool:
+        return self.count[size] > chosen.count(size)
+
+    def sums(self, total: int, n: int, top: int, chosen: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
+        """``chosen`` and ``n`` more sizes, largest first, that add up to ``total``.
+
+        Each look at what is there is one of ``steps``; without any left, none is found.
+        """
+        self.steps -= 1
+        if self.steps < 0:
+            return
+        if n == 1:
+            if total <= top and self.free(total, chosen):
+                yield (*chosen, total)
+            return
+        if n == 2:
+            # All a with both a and total - a there, the larger first.
+            both = self.there & (self.mirror >> (self.room - total) if total <= self.room else 0)
+            both >>= (total + 1) // 2
+            while both:
+                more = both.bit_length() - 1
+                both ^= 1 << more
+                larger = more + (total + 1) // 2
+                one = (*chosen, larger)
+                if larger <= top and self.free(larger, chosen) and self.free(total - larger, one):
+                    yield (*one, total - larger)
+            return
+        # Neither over what leaves a size for each other one, nor below the mean.
+        small = (self.there & -self.there).bit_length() - 1
+        nexts = self.there & ((1 << (min(top, total - (n - 1) * small) + 1)) - 1)
+        nexts >>= -(-total // n)
+        while nexts and self.steps > 0:
+            at = nexts.bit_length() - 1
+            nexts ^= 1 << at
+            size = at + -(-total // n)
+            if self.free(size, chosen):
+                yield from self.sums(total - size, n - 1, size, (*chosen, size))
+
+    def dominated(self, chosen: tuple[int, ...], waste: int) -> bool:
+        """Whether another filling with these left over instead serves no worse.
+
+        A size that still fits, a larger one in place of one chosen, or one in place of
+        two that it is the sum of.
+        """
+        for x in {0, *chosen} if waste else ():
+            near = (self.there >> (x + 1)) & ((1 << waste) - 1)
+            while near:
+                at = near.bit_length() - 1
+                near ^= 1 << at
+                if self.free(x + 1 + at, chosen):
+                    return True
         pairs = {a + b for i, a in enumerate(chosen) for b in chosen[i + 1 :]}
-        return any(p <= room and chosen.count(p) < left[p] for p in pairs)
-
-    kept = [f for f in dict.fromkeys(found) if not dominated(f)] or found[:1]
-    return sorted(kept, key=lambda f: (room - sum(f), len(f)))
+        return any(p <= self.room and self.free(p, chosen) for p in pairs)
+
+    def fillings(self, rest: int, slack: int) -> Iterator[tuple[int, ...]]:
+        """Undominated sets of sizes that fill ``rest`` but for ``slack``, fullest first."""
+        for waste in range(min(slack, rest) + 1):
+            total = rest - waste
+            if total == 0:
+                if not self.dominated((), waste):
+                    yield ()
+                return
+            if not self.there or self.steps <= 0:
+                continue
+            small = (self.there & -self.there).bit_length() - 1
+            for n in range(1, total // small + 1):
+                for chosen in self.sums(total, n, total, ()):
+                    if not self.dominated(chosen, waste):
+                        yield chosen
+                if self.steps <= 0:
+                    return
 
 
-def complete_bins(sizes: np.ndarray, room: int, steps: int = SEARCH_STEPS) -> list[list[int]]:
-    """Packs ``sizes`` into bins of ``room``: bin completion, branch and bound.
+def _fewer(sizes: np.ndarray, room: int, bins: int, steps: int) -> tuple[list[list[int]] | None, int]:
+    """A packing into at most ``bins`` bins if one is found, and the steps left.
 
-    Best fit gives the first packing. Then, depth first, the largest size left gets
-    each undominated filling in turn; a branch ends once its waste rules out a
-    packing with fewer bins. Stops at the lower bound or after ``steps`` fillings.
+    Bin completion, depth first: the largest size left gets each undominated filling in
+    turn, and a branch ends where its waste rules such a packing out. With steps left
+    and none found there is none.
     """
-    best = best_fit(sizes, room)
-    least, total = fewest(sizes, room), int(sizes.sum())
-    left = np.bincount(sizes, minlength=room + 1)
-    while len(best) > least and steps > 0:
-        # Waste a packing with one bin less may have.
-        allowed = (len(best) - 1) * room - total
-        path: list[tuple[tuple[int, ...], int]] = []
-        choices: list[Iterator[tuple[int, ...]]] = []
-        counts, waste, better = left.copy(), 0, None
-        while steps > 0:
-            some = np.flatnonzero(counts)
-            if not len(some):
-                better = [list(f) for f, _ in path]
+    left = _Sizes(sizes, room, steps)
+    allowed = bins * room - int(sizes.sum())
+    path: list[tuple[tuple[int, ...], int]] = []
+    choices: list[Iterator[tuple[int, ...]]] = []
+    while left.there:
+        top = left.there.bit_length() - 1
+        left.take((top,))
+        choices.append(left.fillings(room - top, allowed))
+        chosen = None
+        while True:
+            # The sizes here are those that these fillings were listed from.
+            chosen = next(choices[-1], None)
+            if chosen is not None or left.steps <= 0:
                 break
-            top = int(some[-1])
-            counts[top] -= 1
-            options = _fillings(counts, room - top, allowed - waste, 16)
-            counts[top] += 1
-            choices.append(iter([(top, *f) for f in options]))
-            steps -= 1
-            while choices:
-                chosen = next(choices[-1], None)
-                if chosen is not None:
-                    break
-                choices.pop()
-                if path:
-                    undone, lost = path.pop()
-                    np.add.at(counts, list(undone), 1)
-                    waste -= lost
-            if not choices:
-                break  # no packing with fewer bins
-            lost = room - sum(chosen)
-            np.subtract.at(counts, list(chosen), 1)
-            path.append((chosen, lost))
-            waste += lost
-        if better is None:
+            choices.pop()
+            left.put((top,))
+            if not path:
+                return None, left.steps
+            (top, *rest), lost = path.pop()
+            left.put(tuple(rest))
+            allowed += lost
+        if chosen is None:
+            return None, 0
+        lost = room - top - sum(chosen)
+        left.take(chosen)
+        path.append(((top, *chosen), lost))
+        allowed -= lost
+    return [list(f) for f, _ in path], left.steps
+
+
+def complete_bins(
+    sizes: np.ndarray, room: int, steps: int = SEARCH_STEPS
+) -> tuple[list[list[int]], str]:
+    """Packs ``sizes`` into bins of ``room``, and says what ended the search.
+
+    Best fit gives the first packing; bin completion looks for one with fewer bins
+    until the lower bound is met (``bound``), it has tried every branch (``proof``), or
+    ``steps`` looks are spent (``limit``). In the last case full bins stay, and the
+    wasteful ones are searched again in batches that are small enough to be tried whole.
+    """
+    best, least = best_fit(sizes, room), fewest(sizes, room)
+    while len(best) > least and steps > 0:
+        better, steps = _fewer(sizes, room, len(best) - 1, steps)
+        if better is None and steps > 0:
+            return best, "proof"
+        best = better or best
+    rng = np.random.default_rng(len(sizes))
+    for _ in range(BATCHES):
+        if len(best) <= least:
             break
-        best = better
-    return best
+        waste = np.array([room - sum(b) for b in best])
+        wasteful = np.flatnonzero(waste)
+        some = rng.permutation(wasteful)[:BATCH_BINS]
+        # Few bins that waste little can't give one back.
+        if waste[some].sum() < room:
+            some = wasteful[np.argsort(-waste[wasteful], kind="stable")][:BATCH_BINS]
+            if waste[some].sum() < room:
+                break
+        chosen = np.array([s for k in some for s in best[k]])
+        least_here = max(fewest(chosen, room), len(some) - (len(best) - least))
+        fewer, spare = None, BATCH_STEPS
+        for target in range(least_here, len(some)):
+            fewer, spare = _fewer(chosen, room, target, spare)
+            if fewer is not None or spare <= 0:
+                break
+        if fewer is not None:
+            gone = set(some.tolist())
+            best = [b for k, b in enumerate(best) if k not in gone] + fewer
+    return best, "bound" if len(best) <= least else "limit"
 
 
 def pack(
     pieces: DataFrame, room: int = SEQUENCE, shard_pieces: int = SHARD_PIECES
 ) -> DataFrame:
-    """``pieces`` (with ``length`` from 1 to ``room``) and (sequence_id, offset).
+    """``pieces`` (with ``length`` from 1 to ``room``) and (sequence_id, offset, search).
 
     Full pieces are sequences of their own. The rest are dealt at random into shards
     of about ``shard_pieces``, each packed by one task; a shard leaves about one
-    sequence partly filled. Columns of the two names are replaced, an empty input
-    gives no rows, and repeated rows are packed like any other.
+    sequence partly filled. ``search`` says what ended a shard's search: ``bound`` or
+    ``proof`` (no packing has fewer sequences), or ``limit``. Columns of the three names
+    are replaced, others pass through whatever their names, an empty input gives no
+    rows, and repeated rows are packed like any other.
     """
-    rows = staged(
-        pieces.drop("sequence_id", "offset").withColumn(
-            "__row", F.monotonically_increasing_id()
-        ),
-        "pieces",
-    )
+    given = pieces.drop("sequence_id", "offset", "search")
+    number, shard = free_name(given, "row"), free_name(given, "shard")
+    rows = staged(given.withColumn(number, F.monotonically_increasing_id()), "pieces")
     part = F.col("length") < room
     shards = max(1, -(-rows.where(part).count() // shard_pieces))
-    schema = rows.drop("__row").schema.add("sequence_id", "long").add("offset", "long")
+    schema = given.schema.add("sequence_id", "long").add("offset", "long").add("search", "string")
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = pdf["length"].to_numpy(np.int64)
-        of = int(pdf["__shard"].iloc[0]) << 32
+        of = int(pdf[shard].iloc[0]) << 32
         order = np.argsort(sizes, kind="stable")
         next_at = np.searchsorted(sizes[order], np.arange(room + 1)).tolist()
         sequence, offset = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
-        for k, chosen in enumerate(complete_bins(sizes, room)):
+        bins, ended = complete_bins(sizes, room)
+        for k, chosen in enumerate(bins):
             at = 0
             for size in chosen:
                 row = order[next_at[size]]
                 next_at[size] += 1
                 sequence[row], offset[row] = (of | k) << 1, at
                 at += size
-        return pdf.drop(columns=["__shard", "__row"]).assign(sequence_id=sequence, offset=offset)
+        out = pdf.drop(columns=[shard, number])
+        return out.assign(sequence_id=sequence, offset=offset, search=ended)
 
     packed = (
         rows.where(part)
-        .withColumn("__shard", F.pmod(F.xxhash64("__row"), F.lit(shards)))
-        .groupBy("__shard")
+        .withColumn(shard, F.pmod(F.xxhash64(number), F.lit(shards)))
+        .groupBy(shard)
         .applyInPandas(work, schema)
     )
-    full = rows.where(~part).withColumn("sequence_id", F.col("__row") * 2 + 1)
-    full = full.withColumn("offset", F.lit(0).cast("bigint")).drop("__row")
-    return packed.unionByName(full)
+    full = rows.where(~part).withColumn("sequence_id", F.col(number) * 2 + 1)
+    full = full.withColumn("offset", F.lit(0).cast("bigint")).withColumn("search", F.lit("bound"))
+    return packed.unionByName(full.drop(number))
 
 
 def pack_documents(
@@ -347,6 +436,10 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """All documents in sequences: (id, piece, start, length, ids_crc32, sequence_id, offset)."""
+    """All documents in sequences.
+
+    (id, piece, start, length, ids_crc32, sequence_id, offset, search), see
+    `cut_into_pieces` and `pack`; null texts count as empty, ids may be null or repeated.
+    """
     pieces = cut_into_pieces(docs, tokenizer_file, room, id_col, text_col)
     return pack(pieces, room).withColumnRenamed("id", id_col)
