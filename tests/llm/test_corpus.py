@@ -265,6 +265,55 @@ def test_components_of_a_path_and_a_hub(spark):
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(50)}
 
 
+def fewest_bins(sizes, room):
+    """The least number of bins, by trying every packing."""
+    best = len(sizes)
+    sizes = sorted(sizes, reverse=True)
+
+    def place(k, rests):
+        nonlocal best
+        if len(rests) >= best:
+            return
+        if k == len(sizes):
+            best = len(rests)
+            return
+        for r in sorted(set(rests)):
+            if r >= sizes[k]:
+                at = rests.index(r)
+                place(k + 1, [*rests[:at], r - sizes[k], *rests[at + 1 :]])
+        place(k + 1, [*rests, room - sizes[k]])
+
+    place(0, [])
+    return best
+
+
+def test_bin_completion_equals_every_packing_tried():
+    rng = random.Random(3)
+    for _ in range(150):
+        room = rng.randint(8, 40)
+        sizes = [rng.randint(1, room) for _ in range(rng.randint(1, 10))]
+        bins, ended = packing.complete_bins(np.array(sizes), room)
+        assert sorted(x for b in bins for x in b) == sorted(sizes)
+        assert max(map(sum, bins)) <= room
+        assert len(bins) == fewest_bins(sizes, room) and ended in ("bound", "proof")
+
+
+def test_bin_completion_of_many_pieces():
+    rng = np.random.default_rng(1)
+    # Full bins cut in three: the optimum is their number, and best fit misses it.
+    cuts = np.sort(np.stack([rng.choice(np.arange(600, 2900), 2, replace=False) for _ in range(4000)]))
+    sizes = np.concatenate([cuts[:, 0], cuts[:, 1] - cuts[:, 0], 4096 - cuts[:, 1]])
+    assert len(packing.best_fit(sizes, 4096)) > 4000
+    bins, ended = packing.complete_bins(sizes, 4096)
+    assert (len(bins), ended) == (4000, "bound") and set(map(sum, bins)) == {4096}
+    # Where best fit wastes much, most of the waste goes.
+    sizes = rng.integers(600, 2101, 12_000)
+    least, first = packing.fewest(sizes, 4096), len(packing.best_fit(sizes, 4096))
+    bins, ended = packing.complete_bins(sizes, 4096)
+    assert len(bins) - least < (first - least) / 3
+    assert np.array_equal(np.sort(np.concatenate(bins)), np.sort(sizes))
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
 
@@ -305,12 +354,12 @@ def test_bins_are_as_few_as_can_be(seed):
     # Cut from full bins, so that these are known to do.
     sizes = np.concatenate([np.diff([0, *np.sort(rng.choice(99, 3, replace=False) + 1, ), 100]) for _ in range(12)])
     sizes = sizes[sizes > 0]
-    bins = packing.complete_bins(sizes, 100)
+    bins, _ = packing.complete_bins(sizes, 100)
     assert sorted(x for b in bins for x in b) == sorted(sizes.tolist())
     assert max(map(sum, bins)) <= 100 and len(bins) <= 13
     assert packing.fewest(sizes, 100) == 12
     hard = np.array([6, 6, 5, 5, 5, 3])
-    assert len(packing.best_fit(hard, 15)) >= len(packing.complete_bins(hard, 15)) == 2
+    assert len(packing.best_fit(hard, 15)) >= len(packing.complete_bins(hard, 15)[0]) == 2
     assert packing.fewest(np.array([6, 6, 6, 6]), 10) == 4
 
 
@@ -488,6 +537,35 @@ def test_pipeline(spark, docs, monkeypatch):
     assert {r.doc_id for r in packed if r.doc_id is not None} == want
 
 
+def test_pipeline_stages_pass_columns_of_any_name(spark, tmp_path, monkeypatch):
+    """From stored files, whose rows are numbered by place, and from other tables."""
+    extra = ["row", "row_file", "row_place", "score", "pii", "hit", "__row", "__toxicity", "a.b"]
+    schema = SCHEMA + "".join(f", `{c}` string" for c in extra)
+    rng = random.Random(8)
+    texts = [prose(rng, 50) for _ in range(20)]
+    texts += [texts[0], texts[1] + " more", "mail some.one@example.org now", "", None]
+    rows = [(i % 18, t, "en", "s", 0, *(f"{c}{i}" for c in extra)) for i, t in enumerate(texts)]
+    made = spark.createDataFrame(rows, schema).repartition(3)
+    made.write.parquet(str(tmp_path / "docs"))
+    labels = spark.createDataFrame([(0, 0)], "doc_id long, toxic int")
+    monkeypatch.setattr(corpus_pipeline, "read", lambda s, d, name: labels)
+    kept = []
+    for docs in (made, spark.read.parquet(str(tmp_path / "docs"))):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, "")
+            assert out.columns == made.columns, name
+            out.write.parquet(str(tmp_path / f"{len(kept)}{name}"))
+            docs = spark.read.parquet(str(tmp_path / f"{len(kept)}{name}"))
+        packed = dict(corpus_pipeline.STAGES)["packing"](spark, docs, "")
+        assert packed.count() == docs.count()
+        kept.append(sorted(docs.select("row", "__row", "`a.b`", "text", "n_chars").collect()))
+    assert kept[0] == kept[1] and len(kept[0]) == 22
+    assert all(r[0][3:] == r[1][5:] == r[2][3:] for r in kept[0])
+    changed = [r for r in kept[0] if r.text and "@example.org" in r.text]
+    assert len(changed) == 1 and "some.one" not in changed[0].text
+    assert changed[0].n_chars == len(changed[0].text)
+
+
 def test_pipeline_drops_rows_not_ids(spark):
     rng = random.Random(11)
     one, two, three, four, five = (prose(rng, 60) for _ in range(5))

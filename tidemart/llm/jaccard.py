@@ -29,8 +29,8 @@ PERCENT = 80
 BITS = 2048
 # Bits of a wide bitmap for each shingle of its set, at least.
 WIDE = 4
-# Bytes of a hash by which sets are brought together; the others lie in a column of
-# their own, read only for exact intersections.
+# Bytes of a hash kept in a stored set. Intersections of these may be too large by the
+# few hashes that agree in them; pairs that near the threshold are read again whole.
 KEPT = 5
 # Counters of the frequency sketch.
 COUNTERS = 1 << 18
@@ -48,15 +48,9 @@ def _pack(hashes: np.ndarray) -> bytes:
     return hashes.view(np.uint8).reshape(-1, 8)[:, :KEPT].tobytes()
 
 
-def _pack_rest(hashes: np.ndarray) -> bytes:
-    return hashes.view(np.uint8).reshape(-1, 8)[:, KEPT:].tobytes()
-
-
-def _unpack(raw: bytes, rest: bytes | None = None) -> np.ndarray:
+def _unpack(raw: bytes) -> np.ndarray:
     out = np.zeros((len(raw) // KEPT, 8), np.uint8)
     out[:, :KEPT] = np.frombuffer(raw, np.uint8).reshape(-1, KEPT)
-    if rest is not None:
-        out[:, KEPT:] = np.frombuffer(rest, np.uint8).reshape(-1, 8 - KEPT)
     return out.view(np.uint64).ravel()
 
 
@@ -80,9 +74,9 @@ def _folded(bitmap: bytes, size: int) -> np.ndarray:
 def shingle_sets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE
 ) -> DataFrame:
-    """(id, n_shingles, digest, set, rest) of every row; null texts count as empty.
+    """(id, n_shingles, digest, set) of every row; null texts count as empty.
 
-    ``set`` has the low KEPT bytes of each 64-bit hash, in their order, ``rest`` the others.
+    ``set`` has the low KEPT bytes of each 64-bit hash, in their order.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -90,22 +84,21 @@ def shingle_sets(
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
             sets = Words(texts).shingles(n)
-            by_low = [s[np.argsort(s & np.uint64((1 << 8 * KEPT) - 1), kind="stable")] for s in sets]
+            low = [np.sort(s & np.uint64((1 << 8 * KEPT) - 1)) for s in sets]
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(digests, pa.binary()),
-                    pa.array([_pack(s) for s in by_low], pa.binary()),
-                    pa.array([_pack_rest(s) for s in by_low], pa.binary()),
+                    pa.array([_pack(s) for s in low], pa.binary()),
                 ],
-                ["id", "n_shingles", "digest", "set", "rest"],
+                ["id", "n_shingles", "digest", "set"],
             )
 
         return step
 
-    schema = f"id {kind}, n_shingles bigint, digest binary, set binary, rest binary"
+    schema = f"id {kind}, n_shingles bigint, digest binary, set binary"
     return map_batches(docs.select(F.col(id_col), F.col(text_col)), work, schema)
 
 
@@ -375,24 +368,61 @@ def _asked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return sets.join(staged(asked, "asked"), "id", "left_semi")
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b), a stored table, that reach the threshold by exact intersection."""
+def _links(
+    pairs: DataFrame, sets: DataFrame, percent: int, texts: DataFrame, shingle: int
+) -> DataFrame:
+    """The pairs (a, b), a stored table, that reach the threshold by exact intersection.
+
+    Where the kept bytes leave it open, sets are made of ``texts`` (id, text) anew and
+    their whole hashes are compared.
+    """
     pairs = staged(_wide_bounded(pairs, _asked(pairs, sets), percent), "wide_pairs")
     kind = pairs.schema["a"].dataType.simpleString()
-    both = _both_sides(pairs, _asked(pairs, sets), ["set", "rest"])
+    both = _both_sides(pairs, _asked(pairs, sets), ["set"])
 
     def work():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            keep, sure = [], []
+            for x, y in zip(*(batch.column(k).to_pylist() for k in (2, 3)), strict=True):
+                x, y = _unpack(x), _unpack(y)
+                same = len(np.intersect1d(x, y, assume_unique=True))
+                # 100 * same >= percent * union, and the same with some fewer shared.
+                least = -(-percent * (len(x) + len(y)) // (100 + percent))
+                keep.append(same >= least)
+                sure.append(same >= least + 2 + (len(x) * len(y) >> 34))
+            out = batch.select(["a", "b"]).append_column("sure", pa.array(sure, pa.bool_()))
+            return out.filter(pa.array(keep, pa.bool_()))
+
+        return step
+
+    found = staged(map_batches(both, work, f"a {kind}, b {kind}, sure boolean"), "shared_pairs")
+    sure, open_ = found.where("sure").select("a", "b"), found.where("NOT sure").select("a", "b")
+    if open_.isEmpty():
+        return sure
+    whole = map_batches(_asked(open_, texts), lambda: _whole(shingle), f"id {kind}, set binary")
+
+    def compare():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             keep = []
-            for x, y, p, q in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
-                x, y = _unpack(x, p), _unpack(y, q)
+            for x, y in zip(*(batch.column(k).to_pylist() for k in (2, 3)), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 same = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * same >= percent * (len(x) + len(y) - same))
             return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         return step
 
-    return map_batches(both, work, f"a {kind}, b {kind}")
+    rest = map_batches(_both_sides(open_, whole, ["set"]), compare, f"a {kind}, b {kind}")
+    return sure.unionByName(rest)
+
+
+def _whole(shingle: int):
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = Words([(t or "").encode() for t in batch.column(1).to_pylist()]).shingles(shingle)
+        columns = [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["id", "set"])
+
+    return step
 
 
 def _tile_pairs(members: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
@@ -491,7 +521,8 @@ def similar_components(
     star = rows.where((F.col("id") > F.col("lead")) & (small * 100 >= large * percent))
     star = star.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     star = staged(_bounded(star, listed, percent), "star_pairs")
-    links = staged(_links(star, shown, percent), "star_links")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    links = staged(_links(star, shown, percent, texts, shingle), "star_links")
     joined = staged(components(links, "a", "b"), "joined")
 
     own = rows.select("key", "id").join(joined, "id", "left")
@@ -501,8 +532,8 @@ def similar_components(
     )
     open_keys = staged(ends.where("low < high").select("key", "rows"), "open_keys")
     members = staged(join_counted(own, open_keys, "key", "rows"), "members")
-    more = _links(staged(_tile_pairs(members, listed, percent), "tile_pairs"), shown, percent)
-    more = staged(more, "tile_links")
+    pairs = staged(_tile_pairs(members, listed, percent), "tile_pairs")
+    more = staged(_links(pairs, shown, percent, texts, shingle), "tile_links")
     named = groups.join(joined, groups["first"] == joined["id"], "left").select(
         "digest", F.coalesce("component_id", "first").alias("component_id"), "rows"
     )
