@@ -1,67 +1,94 @@
 """A training corpus from raw documents: filter, deduplicate, pseudonymise, pack.
 
 Each stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet and read
-again as the next stage's ``docs``.
+again as the next stage's ``docs``. Stages decide on rows, so that null and repeated ids
+do no harm; columns other than ``doc_id``, ``text`` and ``n_chars`` pass through, whatever
+their names, up to packing. Empty tables stay empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm import exact_dedup, jaccard, packing, pii, toxicity
-from tidemart.llm._common import read, staged
+from tidemart.llm._common import free_name, read, staged
 from tidemart.llm.queries import PSEUDONYM_KEY, tokenizer_path
 
 TOXIC_FROM = 0.5
-ROW = "__row"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below ``TOXIC_FROM``."""
+    """Documents that score below ``TOXIC_FROM``; null and empty texts stay."""
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
-    scored = toxicity.score_toxicity(docs, model, score_col="__toxicity")
-    return scored.where(F.col("__toxicity") < TOXIC_FROM).drop("__toxicity")
+    score = free_name(docs, "score")
+    scored = toxicity.score_toxicity(docs, model, score_col=score)
+    return scored.where(F.col(score) < TOXIC_FROM).drop(score)
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number for each row; ids may be null or repeated.
+def _columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
-    Stored, so that each reading has the same numbers.
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number for each row, and its column; ids may be null or repeated.
+
+    Each reading has the same numbers: rows of stored files are numbered by file and
+    place, others are stored first. File names are numbered in one task.
     """
-    return staged(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    name = free_name(docs, "row")
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("file"), "_metadata.row_index")
+    except AnalysisException:  # not read from files
+        return staged(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+    file, place = free_name(docs, "row_file"), free_name(docs, "row_place")
+    placed = placed.toDF(*docs.columns, file, place)
+    files = placed.select(file).distinct()
+    files = files.withColumn(name, F.row_number().over(Window.orderBy(file)).cast("bigint"))
+    number = F.col(name) * F.lit(1 << 40) + F.col(place)
+    joined = placed.join(staged(files, "files"), file)
+    return joined.withColumn(name, number).drop(file, place), name
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of rows with equal texts, one with the smallest id; no id is larger than any."""
-    rows = _numbered(docs)
-    marked = exact_dedup.dedup_exact(rows, exact_dedup.new_index(spark, rows), row_col=ROW)
-    return rows.join(marked.where("NOT kept").select(ROW), ROW, "left_anti").select(docs.columns)
+    """Of rows with equal texts, one with the smallest id; no id is larger than any.
+
+    Texts are equal when white space is read as one space each, null as empty.
+    """
+    rows, number = _numbered(docs)
+    marked = exact_dedup.dedup_exact(rows, exact_dedup.new_index(spark, rows), row_col=number)
+    gone = staged(marked.where("NOT kept").select(number), "copies")
+    return rows.join(gone, number, "left_anti").select(*_columns(docs))
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of rows connected by near copies, one with the smallest id, as for equal texts."""
-    rows = _numbered(docs)
+    """Of rows connected by near copies, one with the smallest id, as for equal texts.
+
+    Texts without words are near to none.
+    """
+    rows, number = _numbered(docs)
     # Row numbers stand for ids, so that texts which share an id aren't taken for one.
-    named = jaccard.similar_components(rows, id_col=ROW).select(ROW, "component_id")
-    named = staged(named, "components")
-    ids = rows.select(ROW, F.col("doc_id").isNull().alias("none"), "doc_id")
-    first = named.join(ids, ROW).groupBy("component_id")
-    first = first.agg(F.min(F.struct("none", "doc_id", ROW)).alias("first"))
-    kept = first.select(F.col(f"first.{ROW}").alias(ROW))
-    return rows.join(kept, ROW, "left_semi").select(docs.columns)
+    named = jaccard.similar_components(rows, id_col=number).select(number, "component_id")
+    ids = rows.select(number, F.col("doc_id").isNull().alias("none"), "doc_id")
+    named = staged(named.join(ids, number), "components")
+    first = named.groupBy("component_id")
+    first = first.agg(F.min(F.struct("none", "doc_id", number)).alias("first"))
+    kept = staged(first.select(F.col(f"first.{number}").alias(number)), "kept")
+    return rows.join(kept, number, "left_semi").select(*_columns(docs))
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms; ``n_chars`` follows where a text changed."""
-    found = pii.pseudonymise(docs, PSEUDONYM_KEY, found_col="__pii")
-    n_chars = F.when(F.size("__pii") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    found_col = free_name(docs, "pii")
+    found = pii.pseudonymise(docs, PSEUDONYM_KEY, found_col=found_col)
+    n_chars = F.when(F.size(found_col) > 0, F.length("text")).otherwise(F.col("n_chars"))
     kind = docs.schema["n_chars"].dataType
-    return found.withColumn("n_chars", n_chars.cast(kind)).select(docs.columns)
+    return found.withColumn("n_chars", n_chars.cast(kind)).select(*_columns(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, and their places in sequences."""
+    """The pieces of all documents, and their places in sequences; null texts are empty."""
     return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
 
 
