@@ -3,7 +3,8 @@
 A window of LENGTH bytes belongs to the smallest hash of the short strings in it, its
 anchor; equal windows have equal anchors. Stretches of text whose anchor occurs in
 one document only are left out. The others are dealt by anchor into buckets, so that
-all places of a window meet. In a bucket each shard has its transform; the transforms
+all places of a window meet. In a bucket, equal stretches are searched once, and windows
+whose hash no other has are left out. Each shard has its transform; the transforms
 are merged by refining their interleave a symbol at a time, and intervals whose common
 prefix reaches LENGTH are the repeats. Of each, the smallest document stays.
 """
@@ -112,6 +113,8 @@ def merge_transforms(transforms: list[np.ndarray], depth: int) -> tuple[np.ndarr
 
 def repeats(strings: list[bytes], owners: np.ndarray, length: int, shards: int = SHARDS):
     """(string, offset) of each window that a smaller owner has, too."""
+    if not strings:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     size = np.fromiter((len(s) + 1 for s in strings), np.int64, len(strings))
     begin = np.cumsum(size) - size
     flat = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.uint16) + 1
@@ -141,6 +144,41 @@ def repeats(strings: list[bytes], owners: np.ndarray, length: int, shards: int =
     return string[hit], offset[hit]
 
 
+def candidates(strings: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(string, start, end) of the runs of windows whose hash occurs more than once.
+
+    Windows start in [start, end). Equal windows have equal hashes, so no other window
+    is a repeat; the transforms need not hold it.
+    """
+    size = np.fromiter(map(len, strings), np.int64, len(strings))
+    begin = np.cumsum(size) - size
+    flat = np.frombuffer(b"".join(strings), np.uint8)
+    n = len(flat)
+    windows = np.maximum(size - length + 1, 0)
+    if not windows.sum():
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_OF_BYTE[flat] * _powers(_BASE, n), out=sums[1:])
+    hashes = sums[length:] - sums[:-length]
+    del sums
+    hashes *= _powers(np.uint64(pow(int(_BASE), -1, 1 << 64)), len(hashes))
+    hashes = (mix(hashes) >> np.uint64(32)).astype(np.uint32)
+    string = np.repeat(np.arange(len(strings), dtype=np.int32), windows)
+    place = np.arange(len(string), dtype=np.int32) - (np.cumsum(windows) - windows)[string].astype(np.int32)
+    hashes = hashes[begin[string] + place]
+    ranked = np.sort(hashes)
+    several = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])
+    if not len(several):
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    at = np.minimum(np.searchsorted(several, hashes), len(several) - 1)
+    some = np.flatnonzero(several[at] == hashes)
+    new = np.append(True, (np.diff(some) != 1) | (np.diff(string[some]) != 0))
+    first, last = some[new], some[np.append(new[1:], True)]
+    return string[first].astype(np.int64), place[first].astype(np.int64), place[last].astype(np.int64) + 1
+
+
 def _joined(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted intervals, those that touch or overlap made one."""
     if not len(start):
@@ -268,17 +306,33 @@ def remove_repeats(
 
     # 3. Repeats of each bucket.
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("owner", kind="stable")
         strings, owners = pdf["raw"].tolist(), pdf["owner"].to_numpy(np.int64)
-        string, offset = repeats(strings, owners, length)
+        start, digest = pdf["start"].to_numpy(np.int64), pdf["digest"].to_numpy()
+        # Of equal stretches the smallest document's goes on, later ones' go whole.
+        firsts: dict[bytes, int] = {}
+        for i, raw in enumerate(strings):
+            firsts.setdefault(raw, i)
+        lead = np.fromiter((firsts[raw] for raw in strings), np.int64, len(strings))
+        gone = np.flatnonzero(owners > owners[lead])
+        size = np.fromiter(map(len, strings), np.int64, len(strings))
+        left = np.flatnonzero(owners == owners[lead])  # one document may have it several times
+        of, low, high = candidates([strings[i] for i in left], length)
+        of = left[of]
+        parts = [strings[i][a : b - 1 + length] for i, a, b in zip(of.tolist(), low.tolist(), high.tolist())]
+        string, offset = repeats(parts, owners[of], length)
         order = np.lexsort((offset, string))
         string, offset = string[order], offset[order].astype(np.int64)
         new = np.append(True, (string[1:] != string[:-1]) | (offset[1:] != offset[:-1] + 1))
         new = new[: len(string)]
-        of = string[new]
-        start = pdf["start"].to_numpy(np.int64)[of]
-        low, high = offset[new], offset[np.append(new[1:], True)[: len(string)]]
-        whose = {"owner": owners[of], "digest": pdf["digest"].to_numpy()[of]}
-        return pd.DataFrame(whose | {"start": start + low, "end": start + high + length})
+        run, at = string[new], offset[new]
+        until = offset[np.append(new[1:], True)[: len(string)]]
+        whose = np.concatenate([of[run], gone])
+        begins = np.concatenate([start[of[run]] + low[run] + at, start[gone]])
+        ends = np.concatenate([start[of[run]] + low[run] + until + length, start[gone] + size[gone]])
+        return pd.DataFrame(
+            {"owner": owners[whose], "digest": digest[whose], "start": begins, "end": ends}
+        )
 
     spans = "owner bigint, digest binary, start bigint, end bigint"
     found = cut.where("bucket >= 0").groupBy("bucket").applyInPandas(search, spans)
