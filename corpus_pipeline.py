@@ -62,13 +62,25 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(gone, number, "left_anti").select(*_columns(docs))
 
 
+def _ids_name_rows(docs: DataFrame) -> bool:
+    """Whether every row has an id of its own."""
+    per_id = docs.groupBy("doc_id").count()
+    found = per_id.agg(F.max("count"), F.count_if(F.col("doc_id").isNull())).first()
+    return (found[0] or 1) == 1 and not found[1]
+
+
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows connected by near copies, one with the smallest id, as for equal texts.
 
-    Texts without words are near to none.
+    Texts without words are near to none. Where ids are null or repeated, row numbers
+    stand for them, so that texts which share an id aren't taken for one.
     """
+    if _ids_name_rows(docs):
+        named = jaccard.similar_components(docs).where("doc_id = component_id")
+        return docs.join(staged(named.select("doc_id"), "kept"), "doc_id", "left_semi").select(
+            *_columns(docs)
+        )
     rows, number = _numbered(docs)
-    # Row numbers stand for ids, so that texts which share an id aren't taken for one.
     named = jaccard.similar_components(rows, id_col=number).select(number, "component_id")
     ids = rows.select(number, F.col("doc_id").isNull().alias("none"), "doc_id")
     named = staged(named.join(ids, number), "components")
