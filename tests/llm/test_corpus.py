@@ -590,3 +590,8 @@ def test_pipeline_drops_rows_not_ids(spark):
     want = [(1, one), (2, two), (None, three), (3, four), (4, five), (5, None)]
     assert similar.columns == docs.columns
     assert left(similar) == sorted(want, key=order)
+    # The same rows under ids of their own.
+    own = copies.where("doc_id <> 4 OR text = '" + five + "'").where("doc_id IS NOT NULL")
+    own = own.union(spark.createDataFrame([(7, " ".join(near), "en", "s", 0)], SCHEMA))
+    similar = corpus_pipeline.drop_similar(spark, own, "")
+    assert left(similar) == [(1, one), (2, two), (3, four), (4, five), (5, None)]
