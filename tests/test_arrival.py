@@ -135,7 +135,8 @@ def test_daily_load_opens_new_files_and_those_of_the_window(warehouse, tmp_path)
     land(folder, "late.json", {"2026-02-10": {"USD": 3.0}}, 1)
     land(folder, "none.json", {}, 2)
     load_rates(warehouse, "fx", str(folder), "EUR", initial=SINCE)
-    held = {r.file[-8:]: (str(r.first_at), str(r.last_at), r.n_rows) for r in landing_manifest(warehouse, SPEC).collect()}
+    files = landing_manifest(warehouse, SPEC).collect()
+    held = {r.file[-8:]: (str(r.first_at), str(r.last_at), r.n_rows) for r in files}
     assert held == {
         "old.json": ("2026-01-05", "2026-01-09", 2),
         "ate.json": ("2026-02-10", "2026-02-10", 1),

@@ -41,6 +41,11 @@ def test_a_range_without_any_quote_is_a_gap(spark, warehouse):
     load_replace(warehouse, quotes, rates_spec("fx"))
     gaps = missing_weekdays(warehouse, "fx", date(2026, 1, 5), date(2026, 1, 10)).collect()
     assert [(r.base, r.n_days) for r in gaps] == [("EUR", 5)]
+    load_replace(warehouse, quotes.limit(0), rates_spec("fx"))
+    days = (date(2026, 1, 5), date(2026, 1, 10))
+    assert missing_weekdays(warehouse, "fx", *days).count() == 0
+    gaps = missing_weekdays(warehouse, "fx", *days, base="EUR").collect()
+    assert [(r.base, r.n_days) for r in gaps] == [("EUR", 5)]
 
 
 def test_snapshot_shuffles_the_picture_but_not_the_history(spark, warehouse):

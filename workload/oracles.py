@@ -84,7 +84,7 @@ fact AS (
   FROM daily d
   JOIN dim b ON b.codigo_moneda = moneda_base
   JOIN dim q ON q.codigo_moneda = moneda_cotizada
-  WHERE d.fecha >= DATE '1995-01-01' AND d.fecha < DATE '2002-01-01'
+  WHERE d.fecha < (SELECT DATE_TRUNC('year', MAX(date)) FROM line_quotes)
 )"""
 _MONTHLY = """
 grouped AS (
@@ -106,7 +106,7 @@ _RAISED_FACT = _FACT.replace(
     "MAX(rate) AS rate FROM line_quotes",
     """MAX(rate) + CASE WHEN month(date) = 2 AND date = last_day(date) THEN 1000 ELSE 0 END
     AS rate FROM line_quotes""",
-).replace("WHERE d.fecha >= DATE '1995-01-01' AND d.fecha < DATE '2002-01-01'", "")
+).replace("WHERE d.fecha < (SELECT DATE_TRUNC('year', MAX(date)) FROM line_quotes)", "")
 _STAMP = "'2026-01-07 12:00:00'"
 
 _CALENDAR = """
@@ -435,8 +435,8 @@ ORACLES: dict[str, str] = {
     "gaps_per_entity": f"""WITH {_LINE_QUOTES},
         weekdays AS (
           SELECT d, ROW_NUMBER() OVER (ORDER BY d) AS n
-          FROM (SELECT CAST(UNNEST(generate_series(DATE '1995-01-01', DATE '2001-12-31',
-                                                   INTERVAL 1 DAY)) AS DATE) AS d)
+          FROM (SELECT CAST(UNNEST(generate_series(MIN(date), MAX(date), INTERVAL 1 DAY)) AS DATE)
+                       AS d FROM line_quotes)
           WHERE EXTRACT(isodow FROM d) < 6),
         entities AS (
           SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS currency FROM supplier

@@ -56,10 +56,6 @@ from workload.inputs import LOADED, SOURCE, new_warehouse, portable, table
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# The calendar of the date dimension leaves out the first and last years of data.
-# All shipping days of the test tables.
-DATES = (date(1995, 1, 1), date(2002, 1, 1))
-
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = lambda spark, sf_dir: portable(fn(spark, sf_dir))
@@ -125,12 +121,24 @@ def dim_entity_seed_default(spark, sf_dir):
     return dim_currency(activity, inputs.region_seed(spark, sf_dir))
 
 
+def _days(spark, sf_dir) -> tuple[date, date]:
+    """First shipping day of the data, and the day after the last."""
+    day = F.col("l_shipdate").cast("date")
+    first, last = table(spark, sf_dir, "lineitem").agg(F.min(day), F.max(day)).first()
+    return first, last + timedelta(days=1)
+
+
 def _star(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """``(fact, dates)`` over stored raw and dimension tables, as the jobs build them."""
+    """``(fact, dates)`` over stored raw and dimension tables, as the jobs build them.
+
+    The calendar leaves out the last year of the data, whose quotes drop from the fact.
+    """
     wh = new_warehouse(spark)
     write_replace(wh, inputs.raw_rates(spark, sf_dir), RAW, "rates")
     quotes = stage_quotes(wh.read(RAW, "rates"))
-    dates = materialize(wh, dim_date(spark, *DATES), MARTS, "dim_fecha")
+    first, end = _days(spark, sf_dir)
+    last_year = date((end - timedelta(days=1)).year, 1, 1)
+    dates = materialize(wh, dim_date(spark, first, last_year), MARTS, "dim_fecha")
     activity = currency_activity(quotes, inputs.catalog(spark, sf_dir))
     currencies = dim_currency(activity, inputs.region_seed(spark, sf_dir))
     currencies = materialize(wh, currencies, MARTS, "dim_moneda")
@@ -493,13 +501,14 @@ def landed_files_to_report(spark, sf_dir):
     picture = catalog.select(F.to_json(F.create_map(code, F.col("s_name"))).alias("value"))
     picture.coalesce(1).write.text(path)  # one file, as a source answers
     load_catalog(wh, SOURCE, path, LOADED)
+    first, end = _days(spark, sf_dir)
     marts = build_marts(
         wh,
         SOURCE,
         snapshot_at=LOADED,
         today=date(2026, 1, 7),
-        calendar_end=date(2028, 1, 1),
-        calendar_start=DATES[0],
+        calendar_start=first,
+        calendar_end=end,
         seed=inputs.region_seed(spark, sf_dir),
     )
     return marts["rpt_cotizacion_mensual"]
@@ -514,11 +523,11 @@ def incremental_mart_refresh(spark, sf_dir):
     missing = F.year("date") * 12 + F.month("date") == 1997 * 12 + 5
     named = inputs.raw_catalog(spark, sf_dir).filter("trim(name) <> ''")
     load_replace(wh, named, catalog_spec(SOURCE))
-    bounds = rates.agg(F.min("date"), F.max("date")).first()
+    first, end = _days(spark, sf_dir)
     options = dict(
-        today=bounds[1],
-        calendar_start=bounds[0],
-        calendar_end=bounds[1] + timedelta(days=1),
+        today=end,
+        calendar_start=first,
+        calendar_end=end,
         seed=inputs.region_seed(spark, sf_dir),
     )
     load_merge(wh, rates.filter(~missing), spec)
@@ -543,7 +552,7 @@ def windows_per_customer(spark, sf_dir):
 
 @query
 def gaps_per_entity(spark, sf_dir):
-    weekdays = calendar(spark, *DATES, "day").filter(F.weekday("day") < 5)
+    weekdays = calendar(spark, *_days(spark, sf_dir), "day").filter(F.weekday("day") < 5)
     quotes = inputs.line_quotes(spark, sf_dir)
     codes = table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("currency")
