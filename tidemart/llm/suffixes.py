@@ -207,16 +207,18 @@ def remove_repeats(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(last)).alias("owner"),
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("raw"),
     ).withColumn("digest", F.unhex(F.sha2("raw", 256)))
+    rows = rows.withColumn("mark", F.xxhash64("digest"))
     # Of equal texts only those of the smallest id are searched.
     small = staged(rows.select("id", "owner", "digest", F.length("raw").alias("n")), "texts")
     equal = small.groupBy("digest").agg(F.min("owner").alias("lead"), F.count("*").alias("rows"))
     equal = staged(equal, "equal")
-    # A row is told by owner and digest; rows that share both lose the same.
+    # A row is told by owner and digest, from the stretches on by eight bytes of it; rows
+    # that share both lose the same.
     leads = equal.select(F.col("lead").alias("owner"), "digest")
     total = small.agg(F.sum(F.col("n").cast("bigint"))).first()[0] or 0
     groups = max(1, -(-int(total) // GROUP_BYTES))
     group = F.pmod(F.xxhash64("owner", "digest"), F.lit(groups)).cast("int").alias("g")
-    texts = rows.select("owner", group, "raw", "digest").where(F.length("raw") >= length)
+    texts = rows.select("owner", group, "raw", "digest", "mark").where(F.length("raw") >= length)
 
     # 1. Anchors of each group, and those that several documents have.
     def anchors():
@@ -246,7 +248,7 @@ def remove_repeats(
 
         return step
 
-    sent = map_batches(texts.drop("digest"), anchors, "part int, g int, anchors binary")
+    sent = map_batches(texts.drop("digest", "mark"), anchors, "part int, g int, anchors binary")
 
     def shared(pdf: pd.DataFrame) -> pd.DataFrame:
         lists = [np.frombuffer(raw, np.uint64) for raw in pdf["anchors"]]
@@ -264,7 +266,7 @@ def remove_repeats(
 
     # 2. Stretches with such anchors. Of equal ones in a group the first goes on.
     searched = texts.join(leads.hint("merge"), ["owner", "digest"], "left_semi")
-    searched = searched.select("g", "owner", "digest", "raw")
+    searched = searched.select("g", "owner", "mark", "raw")
 
     def stretches(left: pa.Table, right: pa.Table) -> pa.Table:
         known = [np.frombuffer(x, np.uint64) for x in right.column("anchors").to_pylist()]
@@ -274,7 +276,7 @@ def remove_repeats(
             for batch in slices(whole):
                 texts = batch.column("raw").to_pylist()
                 owner = batch.column("owner").to_pylist()
-                digest = batch.column("digest").to_pylist()
+                mark = batch.column("mark").to_pylist()
                 text, start, end, anchor = anchored(texts, length)
                 at = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
                 some = known[at] == anchor
@@ -286,7 +288,7 @@ def remove_repeats(
                     columns[2].append(a)
                     columns[3].append(b - 1 + length)
                     columns[4].append(texts[t][a : b - 1 + length])
-                    columns[5].append(digest[t])
+                    columns[5].append(mark[t])
         firsts: dict[bytes, int] = {}
         for o, raw in zip(columns[1], columns[4], strict=True):
             if o < firsts.get(raw, last + 1):
@@ -295,12 +297,12 @@ def remove_repeats(
         for i, (o, raw) in enumerate(zip(columns[1], columns[4], strict=True)):
             if o > firsts[raw]:
                 columns[0][i], columns[4][i] = -1, None
-        types = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        types = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
         arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-        names = ["bucket", "owner", "start", "end", "raw", "digest"]
+        names = ["bucket", "owner", "start", "end", "raw", "mark"]
         return pa.table(dict(zip(names, arrays, strict=True)))
 
-    schema = "bucket int, owner bigint, start int, end int, raw binary, digest binary"
+    schema = "bucket int, owner bigint, start int, end int, raw binary, mark bigint"
     cut = searched.groupBy("g").cogroup(common.groupBy("g")).applyInArrow(stretches, schema)
     cut = staged(cut, "stretches")
 
@@ -308,7 +310,7 @@ def remove_repeats(
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("owner", kind="stable")
         strings, owners = pdf["raw"].tolist(), pdf["owner"].to_numpy(np.int64)
-        start, digest = pdf["start"].to_numpy(np.int64), pdf["digest"].to_numpy()
+        start, mark = pdf["start"].to_numpy(np.int64), pdf["mark"].to_numpy(np.int64)
         # Of equal stretches the smallest document's goes on, later ones' go whole.
         firsts: dict[bytes, int] = {}
         for i, raw in enumerate(strings):
@@ -331,22 +333,23 @@ def remove_repeats(
         begins = np.concatenate([start[of[run]] + low[run] + at, start[gone]])
         ends = np.concatenate([start[of[run]] + low[run] + until + length, start[gone] + size[gone]])
         return pd.DataFrame(
-            {"owner": owners[whose], "digest": digest[whose], "start": begins, "end": ends}
+            {"owner": owners[whose], "mark": mark[whose], "start": begins, "end": ends}
         )
 
-    spans = "owner bigint, digest binary, start bigint, end bigint"
-    found = cut.where("bucket >= 0").groupBy("bucket").applyInPandas(search, spans)
+    spans = "owner bigint, mark bigint, start bigint, end bigint"
+    found = cut.where("bucket >= 0").drop("end").groupBy("bucket").applyInPandas(search, spans)
     own = cut.where("bucket < 0").select(
-        "owner", "digest", F.col("start").cast("bigint"), F.col("end").cast("bigint")
+        "owner", "mark", F.col("start").cast("bigint"), F.col("end").cast("bigint")
     )
-    listed = found.union(own).groupBy("owner", "digest")
+    listed = found.union(own).groupBy("owner", "mark")
     listed = listed.agg(F.collect_list(F.struct("start", "end")).alias("found"))
 
     # 4. What each document keeps; a later copy of a text keeps nothing, if long enough.
     with_lead = join_counted(small.select("id", "owner", "digest"), equal, "digest", "rows")
-    copies = with_lead.where("owner > lead").select("owner", "digest").distinct()
+    copies = with_lead.where("owner > lead")
+    copies = copies.select("owner", F.xxhash64("digest").alias("mark")).distinct()
     doomed = staged(copies.withColumn("copy", F.lit(True)), "copies")
-    row = ["owner", "digest"]
+    row = ["owner", "mark"]
     marked = rows.hint("merge").join(staged(listed, "spans"), row, "left")
     marked = marked.hint("merge").join(doomed, row, "left")
     marked = marked.select("id", "raw", "found", "copy")
