@@ -102,6 +102,16 @@ def test_null_cursors_are_not_lost(spark, warehouse):
     assert warehouse.read("rejects", "t").count() == 2
 
 
+def test_a_batch_without_rows_is_a_load_of_nothing(spark, warehouse):
+    spec = TableSpec("t", ("k", "d"), cursor="d")
+    batch = spark.createDataFrame([(1, date(2026, 1, 5))], "k INT, d DATE")
+    for rows_ in (batch.limit(0), batch, batch.filter("k > 1"), spark.createDataFrame([], batch.schema)):
+        load_incremental(warehouse, spec, lambda _, df=rows_: df, initial=SINCE)
+    assert log(warehouse, spec) == [(0, 0, 0), (1, 1, 0), (0, 0, 0), (0, 0, 0)]
+    assert warehouse.read("raw", "t").count() == 1
+    assert not warehouse.exists("rejects", "t")
+
+
 def test_catalog_without_names(warehouse, tmp_path):
     (tmp_path / "c.json").write_text(json.dumps({"USD": "Dollar", "XXX": None}))
     load_catalog(warehouse, "fx", str(tmp_path))
