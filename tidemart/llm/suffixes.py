@@ -230,30 +230,31 @@ def remove_repeats(
             order = np.lexsort((owner[text], anchor))
             a, o, p = anchor[order], owner[text][order], g[text][order]
             fresh = np.append(True, (a[1:] != a[:-1]) | (o[1:] != o[:-1]))[: len(a)]
-            a, p = a[fresh], p[fresh]
-            part = (a % np.uint64(groups)).astype(np.int64)
-            cell = part * groups + p
-            order = np.argsort(cell, kind="stable")
-            a, cell = a[order], cell[order]
-            at = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])[: len(cell)])
-            ends = np.append(at[1:], len(cell))
+            a, p = a[fresh], p[fresh].astype(np.int32)
+            part = (a % np.uint64(groups)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            a, p, part = a[order], p[order], part[order]
+            at = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
+            cuts = list(zip(at.tolist(), np.append(at[1:], len(part)).tolist(), strict=True))
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array((cell[at] // groups).astype(np.int32)),
-                    pa.array((cell[at] % groups).astype(np.int32)),
-                    pa.array([a[x:y].tobytes() for x, y in zip(at, ends, strict=True)], pa.binary()),
+                    pa.array(part[at]),
+                    pa.array([p[x:y].tobytes() for x, y in cuts], pa.binary()),
+                    pa.array([a[x:y].tobytes() for x, y in cuts], pa.binary()),
                 ],
-                ["part", "g", "anchors"],
+                ["part", "groups", "anchors"],
             )
 
         return step
 
-    sent = map_batches(texts.drop("digest", "mark"), anchors, "part int, g int, anchors binary")
+    # A row for each batch and part, with the group of each anchor beside it.
+    sent = map_batches(
+        texts.drop("digest", "mark"), anchors, "part int, groups binary, anchors binary"
+    )
 
     def shared(pdf: pd.DataFrame) -> pd.DataFrame:
-        lists = [np.frombuffer(raw, np.uint64) for raw in pdf["anchors"]]
-        anchor = np.concatenate(lists)
-        g = np.repeat(pdf["g"].to_numpy(), [len(x) for x in lists])
+        anchor = np.frombuffer(b"".join(pdf["anchors"]), np.uint64)
+        g = np.frombuffer(b"".join(pdf["groups"]), np.int32)
         order = np.argsort(anchor, kind="stable")
         anchor, g = anchor[order], g[order]
         same = anchor[1:] == anchor[:-1]
