@@ -1,6 +1,7 @@
 """Every registered query equals its SQL on the smallest tables."""
 
 import sys
+from decimal import Decimal as D
 from pathlib import Path
 
 import pytest
@@ -31,3 +32,14 @@ def test_query_equals_sql(spark, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_decimals_too_large_for_their_type_keep_their_digits(spark, tmp_path):
+    keys = range(8097, 8106)
+    path = str(tmp_path / "customer.parquet")
+    spark.range(keys.start, keys.stop).toDF("c_custkey").write.parquet(path)
+    found = QUERIES["schema_evolution_decimals"](spark, str(tmp_path)).collect()
+    assert sorted(r.c_custkey for r in found) == [*keys]
+    share = {r.c_custkey: [v for v in r[1:] if v is not None] for r in found}
+    assert share[8099] == [float(D("1.2345678912") * 8099)]
+    assert share[8102] == [float(D("1.2345678912") * 8102)]  # over 9,999 before the point
