@@ -160,3 +160,10 @@ def test_builtin_seed(spark):
     seed = currency_region_seed(spark)
     assert seed.count() == 47
     assert rows(seed.filter("codigo_moneda = 'GRD'")) == [("GRD", "Dracma Griego", "Europa")]
+
+
+def test_no_filter_repeats_the_parse(spark, tmp_path):
+    df = read(spark, tmp_path, RANGE, ONE_DAY, '{"base":"EUR","rates":{}}', '{"base":"EUR"}')
+    assert df.count() == 5
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2  # once for each shape
