@@ -162,8 +162,24 @@ def test_builtin_seed(spark):
     assert rows(seed.filter("codigo_moneda = 'GRD'")) == [("GRD", "Dracma Griego", "Europa")]
 
 
-def test_no_filter_repeats_the_parse(spark, tmp_path):
+def test_replies_are_parsed_once_and_not_by_the_json_reader(spark, tmp_path):
     df = read(spark, tmp_path, RANGE, ONE_DAY, '{"base":"EUR","rates":{}}', '{"base":"EUR"}')
     assert df.count() == 5
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json") == 2  # once for each shape
+    assert plan.count("parseJson") + plan.count("parse_json") == 1
+
+
+@pytest.mark.parametrize(
+    "line, found",
+    [
+        ("[" + ONE_DAY + "," + ONE_DAY + "]", 2),
+        (ONE_DAY.replace('"', "'"), 1),
+        ('{"date":"2026-01-02","rates":{"USD":1.17,"USD":1.18}}', 2),
+        ('{"date":"2026-01-02","rates":{"USD":null,"BRL":"6.37"}}', 2),
+        ('{"date":"2026-01-02","rates":{"USD":1.17E-5}}', 1),
+        ('{"fetched_at":"2026-01-07T12:00:00Z","rates":{"2026-01-02":{"USD":1},"2026-01-05":null}}', 1),
+        ("  ", 0),
+    ],
+)
+def test_lines_of_other_forms(spark, tmp_path, line, found):
+    assert len(read(spark, tmp_path, line).collect()) == found

@@ -5,6 +5,7 @@ from tidemart.sources.payloads import (
     arrival,
     flatten_payloads,
     normalize_payloads,
+    parse_replies,
     read_catalog_payload,
     read_quote_payloads,
     select_symbols,
@@ -24,6 +25,7 @@ __all__ = [
     "flatten_payloads",
     "landed_files",
     "normalize_payloads",
+    "parse_replies",
     "read_catalog_payload",
     "read_quote_payloads",
     "read_seed",
