@@ -73,21 +73,22 @@ def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Of rows connected by near copies, one with the smallest id, as for equal texts.
 
     Texts without words are near to none. Where ids are null or repeated, row numbers
-    stand for them, so that texts which share an id aren't taken for one.
+    stand for them, so that texts which share an id aren't taken for one. Joined are the
+    rows to drop, mostly few, so that texts move only where these are too many to broadcast.
     """
     if _ids_name_rows(docs):
-        named = jaccard.similar_components(docs).where("doc_id = component_id")
-        return docs.join(staged(named.select("doc_id"), "kept"), "doc_id", "left_semi").select(
-            *_columns(docs)
-        )
+        named = jaccard.similar_components(docs).where("doc_id <> component_id")
+        gone = staged(named.select("doc_id"), "similar")
+        return docs.join(gone, "doc_id", "left_anti").select(*_columns(docs))
     rows, number = _numbered(docs)
     named = jaccard.similar_components(rows, id_col=number).select(number, "component_id")
     ids = rows.select(number, F.col("doc_id").isNull().alias("none"), "doc_id")
     named = staged(named.join(ids, number), "components")
     first = named.groupBy("component_id")
     first = first.agg(F.min(F.struct("none", "doc_id", number)).alias("first"))
-    kept = staged(first.select(F.col(f"first.{number}").alias(number)), "kept")
-    return rows.join(kept, number, "left_semi").select(*_columns(docs))
+    kept = first.select(F.col(f"first.{number}").alias(number))
+    gone = staged(named.select(number).join(kept, number, "left_anti"), "similar")
+    return rows.join(gone, number, "left_anti").select(*_columns(docs))
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

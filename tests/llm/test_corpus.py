@@ -595,3 +595,25 @@ def test_pipeline_drops_rows_not_ids(spark):
     own = own.union(spark.createDataFrame([(7, " ".join(near), "en", "s", 0)], SCHEMA))
     similar = corpus_pipeline.drop_similar(spark, own, "")
     assert left(similar) == [(1, one), (2, two), (3, four), (4, five), (5, None)]
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_near_copies_are_dropped_without_moving_texts(spark, tmp_path, repeated):
+    """Many rows stay and few go: only those that go are joined."""
+    rng = random.Random(12)
+    ids = rng.sample(range(1 << 60), 1500)
+    rows = [(i, prose(rng, 12), "en", "s", 0) for i in ids]
+    rows.append(((ids[0] if repeated else 1 << 60), rows[1][1], "en", "s", 0))
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    try:
+        similar = corpus_pipeline.drop_similar(spark, docs, "")
+        plan = similar._jdf.queryExecution().executedPlan().toString()
+        left = sorted((r.doc_id, r.text) for r in similar.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    gone = max(rows[1], rows[-1])
+    assert left == sorted((r[0], r[1]) for r in rows if r != gone)
+    # Nothing but what is broadcast is exchanged.
+    assert "LeftAnti" in plan and "SortMergeJoin" not in plan.split("LeftAnti")[0]
