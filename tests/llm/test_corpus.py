@@ -3,13 +3,16 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from tidemart.llm import (
+    _arrow,
     embeddings,
     exact_dedup,
     jaccard,
@@ -21,6 +24,8 @@ from tidemart.llm import (
     suffixes,
     toxicity,
 )
+from tidemart.llm._arrow import SLICE_BYTES
+from tidemart.llm._shingles import Words
 from tidemart.llm.components import components
 from tidemart.llm.queries import tokenizer_path
 
@@ -617,3 +622,52 @@ def test_near_copies_are_dropped_without_moving_texts(spark, tmp_path, repeated)
     assert left == sorted((r[0], r[1]) for r in rows if r != gone)
     # Nothing but what is broadcast is exchanged.
     assert "LeftAnti" in plan and "SortMergeJoin" not in plan.split("LeftAnti")[0]
+
+
+def test_hashing_words_takes_little_room():
+    rng = random.Random(11)
+    texts = [prose(rng, 200).encode() for _ in range(600)]
+    size = sum(map(len, texts))
+    tracemalloc.start()
+    Words(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * size
+
+
+def test_sets_are_made_of_bounded_slices(spark, monkeypatch):
+    given = []
+    limits = jaccard.map_batches
+
+    def noted(df, work, schema, limit=SLICE_BYTES):
+        given.append(limit)
+        return limits(df, work, schema, limit)
+
+    monkeypatch.setattr(jaccard, "map_batches", noted)
+    long = prose(random.Random(12), 300_000)  # a text of several slices stays whole
+    rows = [(1, long, "", "", 0), (2, long, "", "", 0), (3, "ka lo", "", "", 0), (4, None, "", "", 0)]
+    sets = jaccard.shingle_sets(spark.createDataFrame(rows, SCHEMA)).collect()
+    one, two, three, four = sorted(sets, key=lambda r: r.id)
+    words = long.split()
+    assert one.n_shingles == len({tuple(words[k : k + 5]) for k in range(len(words) - 4)})
+    assert (one.set, one.digest) == (two.set, two.digest)
+    assert (three.n_shingles, four.n_shingles) == (1, 0)
+    assert max(given) <= 512 << 10
+
+
+def test_batches_leave_nothing_with_the_pool(monkeypatch):
+    released = []
+
+    class Pool:
+        def release_unused(self):
+            released.append(True)
+
+    class Frame:
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(_arrow.pa, "default_memory_pool", Pool)
+    batches = [pa.RecordBatch.from_pydict({"x": v}) for v in ([1, 2], [], [3])]
+    run = _arrow.map_batches(Frame(), lambda: lambda batch: batch, "x bigint", 8)
+    assert [b.to_pydict()["x"] for b in run(iter(batches))] == [[1], [2], [3]]
+    assert len(released) == 3

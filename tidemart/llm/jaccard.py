@@ -40,6 +40,8 @@ COUNTED = 2
 RANGE_HASHES = 1_000_000
 # Rows of a tile compared by one task at once; larger tiles are cut into such blocks.
 BLOCK = 2000
+# Bytes of texts whose words are hashed at once; that takes some thirty times the room.
+TEXT_BYTES = 512 << 10
 # Rows of tiles that one call takes, about.
 BUCKET_ROWS = 20_000
 
@@ -99,7 +101,7 @@ def shingle_sets(
         return step
 
     schema = f"id {kind}, n_shingles bigint, digest binary, set binary"
-    return map_batches(docs.select(F.col(id_col), F.col(text_col)), work, schema)
+    return map_batches(docs.select(F.col(id_col), F.col(text_col)), work, schema, TEXT_BYTES)
 
 
 def _common_counters(sets: DataFrame) -> np.ndarray:
@@ -399,7 +401,8 @@ def _links(
     sure, open_ = found.where("sure").select("a", "b"), found.where("NOT sure").select("a", "b")
     if open_.isEmpty():
         return sure
-    whole = map_batches(_asked(open_, texts), lambda: _whole(shingle), f"id {kind}, set binary")
+    asked = _asked(open_, texts)
+    whole = map_batches(asked, lambda: _whole(shingle), f"id {kind}, set binary", TEXT_BYTES)
 
     def compare():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
