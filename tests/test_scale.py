@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tidemart import work_dir
 from tidemart.loads import load_merge
 from tidemart.operators import asof_lookup, latest_by_key, period_summary, relationships, with_previous
-from tidemart.plans import daily_quotes, dim_date, fact_quotes, stage_quotes
+from tidemart.plans import daily_quotes, dim_date, fact_quotes, monthly_report, stage_quotes
+from tidemart.plans.marts import month_closes
 from tidemart.specs import rates_spec
 
 
@@ -111,6 +112,23 @@ def test_skewed_dimension_lookup_is_split_at_run_time(spark, conf):
     assert "isSkew=true" in final_plan(fact) or "skewed" in final_plan(fact)
 
 
+def test_fact_and_report_are_shuffled_once_and_the_same(spark, conf):
+    """Dealt by month and share of the pairs, rows go from the window, or the groups, to the write."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    raw = raw_rates(spark).withColumn("date", F.explode(F.array("date", F.date_add("date", 40))))
+    quotes = stage_quotes(raw)
+    closes, dates = month_closes(quotes), dim_date(spark, end=date(2027, 1, 1))
+    codes = quotes.select(F.explode(F.array("moneda_base", "moneda_cotizada")).alias("codigo_moneda"))
+    dim = codes.distinct().withColumn("clave_moneda", F.md5("codigo_moneda"))
+    before = fact_quotes(daily_quotes(quotes, closes), dates, dim)
+    after = fact_quotes(daily_quotes(quotes, closes, 3), dates, dim, in_place=True)
+    assert rows(after.select(*before.columns)) == rows(before)
+    assert plan(after).count("Exchange hashpartitioning(__bucket") == 1
+    assert "SortMergeJoin" not in plan(after)
+    assert rows(monthly_report(before, dates, 3)) == rows(monthly_report(before, dates))
+    assert plan(monthly_report(before, dates, 3)).count("Exchange hashpartitioning(anio_mes") == 1
+
+
 def test_partial_aggregates_precede_every_shuffle(spark):
     df = hourly(spark)
     parent = spark.createDataFrame([("hot",)], "k STRING")

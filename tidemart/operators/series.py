@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemart.functions import guarded_pct_change
 from tidemart.operators.buckets import BUCKET, time_bucket
 
-_CARRY = "__carry"
+_CARRY, SHARE = "__carry", "__share"
 
 
 def with_previous(
@@ -20,6 +20,7 @@ def with_previous(
     previous: dict[str, str],
     period: str | None = None,
     ends: DataFrame | None = None,
+    shares: int | None = None,
 ) -> DataFrame:
     """Adds columns of the row before this one in its series.
 
@@ -32,6 +33,9 @@ def with_previous(
 
     ``ends`` are the `bucket_ends` of all buckets, stored earlier; then ``df`` may hold
     the rows of some buckets only, each of them whole.
+
+    ``shares`` deals the rows out by time bucket and that many shares of the keys, not by
+    bucket and key: what is written by bucket then needs no other shuffle.
     """
     values = [c for c in previous if c != at]
     bucketed = df.withColumn(BUCKET, time_bucket(df, at, period))
@@ -46,9 +50,22 @@ def with_previous(
     ).filter(F.col(at).isNotNull())
 
     rows = bucketed.withColumn(_CARRY, F.lit(False)).unionByName(carried, allowMissingColumns=True)
-    by_bucket = Window.partitionBy(*keys, BUCKET).orderBy(at)
+    series = [*keys, BUCKET]
+    if shares is not None:
+        rows = dealt_by(rows, BUCKET, keys, shares)
+        series.append(SHARE)
+    by_bucket = Window.partitionBy(*series).orderBy(at)
     lagged = {name: F.lag(c).over(by_bucket) for c, name in previous.items()}
-    return rows.withColumns(lagged).filter(~F.col(_CARRY)).drop(_CARRY, BUCKET)
+    return rows.withColumns(lagged).filter(~F.col(_CARRY)).drop(_CARRY, BUCKET, SHARE)
+
+
+def dealt_by(df: DataFrame, bucket: str, keys: Sequence[str], shares: int) -> DataFrame:
+    """Rows dealt out by a bucket and by ``shares`` shares of the keys, in a column `SHARE`.
+
+    Grouping by bucket, keys and `SHARE` takes no shuffle afterwards.
+    """
+    share = F.pmod(F.xxhash64(*keys), F.lit(shares)).cast("int")
+    return df.withColumn(SHARE, share).repartition(bucket, SHARE)
 
 
 def bucket_ends(

@@ -1,8 +1,8 @@
 """The exchange-rate star schema.
 
-No join here carries a broadcast hint: Spark broadcasts a dimension when its
-measured size allows it, and otherwise shuffles, splitting skewed partitions at
-run time.
+No join here carries a broadcast hint, unless asked to leave quotes in place: Spark
+broadcasts a dimension when its measured size allows it, and otherwise shuffles,
+splitting skewed partitions at run time.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from tidemart.operators import (
 )
 from tidemart.operators.buckets import BUCKET
 from tidemart.operators.scd2 import VALID_FROM, VALID_TO
+from tidemart.operators.series import SHARE, dealt_by
 from tidemart.session import DISPLAY_TIMEZONE, session_date
 from tidemart.sources import calendar, default_calendar_end
 from tidemart.specs import CALENDAR_START
@@ -44,10 +45,13 @@ def month_closes(quotes: DataFrame) -> DataFrame:
     return ends.withColumnRenamed(BUCKET, "mes")
 
 
-def daily_quotes(quotes: DataFrame, closes: DataFrame | None = None) -> DataFrame:
+def daily_quotes(
+    quotes: DataFrame, closes: DataFrame | None = None, shares: int | None = None
+) -> DataFrame:
     """Quotes with the measures that need the pair's previous published day.
 
     With the `month_closes` of the whole history, ``quotes`` may be those of some months.
+    ``shares`` deals them out by month and that many shares of the pairs.
     """
     value, previous = F.col("cotizacion"), F.col("cotizacion_anterior")
     return with_previous(
@@ -57,6 +61,7 @@ def daily_quotes(quotes: DataFrame, closes: DataFrame | None = None) -> DataFram
         {"cotizacion": "cotizacion_anterior", "fecha": "fecha_anterior"},
         period=None if closes is None else "month",
         ends=None if closes is None else closes.withColumnRenamed("mes", BUCKET),
+        shares=shares,
     ).select(
         "fecha",
         *PAIR,
@@ -145,16 +150,24 @@ def dim_currency_history(history: DataFrame, zone: str = DISPLAY_TIMEZONE) -> Da
     )
 
 
-def fact_quotes(daily: DataFrame, dates: DataFrame, currencies: DataFrame) -> DataFrame:
+def fact_quotes(
+    daily: DataFrame, dates: DataFrame, currencies: DataFrame, in_place: bool = False
+) -> DataFrame:
     """Periodic snapshot, one row per date and pair, keyed to its dimensions.
 
     The currency dimension plays two roles. Quotes outside a dimension drop out;
-    `relationships` and `find_gaps` show whether any did.
+    `relationships` and `find_gaps` show whether any did. ``in_place`` leaves quotes in the
+    tasks they are in; dimensions are then sent to all, and have to be small enough.
     """
-    days = dates.select("fecha", "clave_fecha")
+
+    def sent(dimension: DataFrame) -> DataFrame:
+        return F.broadcast(dimension) if in_place else dimension
+
+    days = sent(dates.select("fecha", "clave_fecha"))
 
     def role(code: str, key: str) -> DataFrame:
-        return currencies.select(F.col("codigo_moneda").alias(code), F.col("clave_moneda").alias(key))
+        columns = F.col("codigo_moneda").alias(code), F.col("clave_moneda").alias(key)
+        return sent(currencies.select(*columns))
 
     return (
         daily.join(days, "fecha")
@@ -177,12 +190,20 @@ def fact_quotes(daily: DataFrame, dates: DataFrame, currencies: DataFrame) -> Da
     )
 
 
-def monthly_report(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """Count, average, range, open, close and volatility per month and pair."""
+def monthly_report(fact: DataFrame, dates: DataFrame, shares: int | None = None) -> DataFrame:
+    """Count, average, range, open, close and volatility per month and pair.
+
+    ``shares`` deals quotes out by month and that many shares of the pairs, so that what
+    is written by month needs no other shuffle. A pair has one quote a day.
+    """
     months = dates.select("clave_fecha", "anio_mes", "anio", "mes")
+    quotes, keys = fact.join(months, "clave_fecha"), ["anio_mes", "anio", "mes", *PAIR]
+    if shares is not None:
+        used = [*keys, "fecha", "cotizacion", "variacion_pct"]
+        quotes, keys = dealt_by(quotes.select(*used), "anio_mes", PAIR, shares), [*keys, SHARE]
     return period_summary(
-        fact.join(months, "clave_fecha"),
-        keys=["anio_mes", "anio", "mes", *PAIR],
+        quotes,
+        keys=keys,
         at="fecha",
         value="cotizacion",
         change="variacion_pct",
@@ -196,4 +217,4 @@ def monthly_report(fact: DataFrame, dates: DataFrame) -> DataFrame:
             "deviation": "volatilidad_pct",
             "change": "variacion_mensual_pct",
         },
-    )
+    ).drop(SHARE)
