@@ -132,5 +132,6 @@ def land_payloads(spark: SparkSession, quotes: DataFrame, path: str | None = Non
     flat = F.struct("base", "date", *fetched, rates.alias("rates"))
     reply = F.when(F.col("base") == "A", F.to_json(nested)).otherwise(F.to_json(flat))
     path = path or f"{work_dir(spark)}/landing"
-    quotes.select(reply.alias("value")).write.text(path)
+    # Landed replies are the largest files of a run; Spark reads them packed as they are.
+    quotes.select(reply.alias("value")).write.option("compression", "gzip").text(path)
     return path
